@@ -286,7 +286,7 @@ def notice_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each notice with the first of its title, and with the next notice.
+    """Stored pairs: each notice with the first of its title, and with the next one.
 
     Equal titles with equal language and similar length are labelled `same`. One
     pair per notice and rule: a title shared by very many gives no pair explosion.
@@ -330,7 +330,7 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("different").alias("label"),
         )
     )
-    return ordered_pairs(by_title.unionByName(neighbours))
+    return materialize(ordered_pairs(by_title.unionByName(neighbours)), "labelled-pairs")
 
 
 def signatures(spark: SparkSession, sf_dir: str, family: LaneFamily) -> DataFrame:

@@ -82,8 +82,6 @@ def shingles(token_list: Column, width: int) -> Column:
     return F.array_distinct(F.when(F.size(token_list) >= width, runs).otherwise(none))
 
 
-def jaccard(left: Column, right: Column) -> Column:
-    """Share of common members of two sets; two empty sets are equal."""
-    common = F.size(F.array_intersect(left, right))
-    union = F.size(left) + F.size(right) - common
-    return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
+def jaccard(common: Column, left: Column, right: Column) -> Column:
+    """Jaccard similarity from set sizes; two empty sets are equal."""
+    return F.coalesce(F.try_divide(common, left + right - common), F.lit(1.0))

@@ -38,11 +38,8 @@ def oversized_classes(sized: DataFrame, cap: int = BUCKET_CAP) -> OversizedClass
         .withColumn("class_id", F.md5(F.concat_ws(",", "buckets")))
     )
     members = materialize(sets, "oversized-members")
-    classes = materialize(
-        members.groupBy("class_id").agg(
-            F.any_value("buckets").alias("buckets"), F.count("*").alias("weight")
-        ),
-        "oversized-classes",
+    classes = members.groupBy("class_id").agg(
+        F.any_value("buckets").alias("buckets"), F.count("*").alias("weight")
     )
     sides = classes.select("class_id", F.explode("buckets").alias("bucket"))
     neighbours = (

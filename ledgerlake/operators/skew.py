@@ -41,6 +41,9 @@ def lookup_join(
     condition: Column | None = None,
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    right_rows: int | None = None,
+    hot_from: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join a large, possibly skewed side to a lookup side on equal key names.
 
@@ -48,19 +51,26 @@ def lookup_join(
     Otherwise both sides shuffle; rows of hot keys on the left are spread over
     all shuffle partitions by a hash of the row, and the lookup rows of those few
     keys are repeated once per spread value. Both ways give the same rows.
+    ``right_rows`` is the lookup side's size where the caller has counted it;
+    ``hot_from`` is a cheaper frame with the same key counts as ``left``, and
+    ``spread_by`` names left columns that tell its rows apart (default: all).
     """
     keys = list(keys)
     names = [f"lookup_{key}" for key in keys]
     renamed = right.withColumnsRenamed(dict(zip(keys, names)))
     equal = [F.col(key) == F.col(name) for key, name in zip(keys, names)]
     extra = [] if condition is None else [condition]
-    if fits_broadcast(right, max_broadcast_rows):
+    if right_rows is None:
+        small = fits_broadcast(right, max_broadcast_rows)
+    else:
+        small = right_rows <= max_broadcast_rows
+    if small:
         return left.join(F.broadcast(renamed), equal + extra, how).drop(*names)
 
     spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(left.dropna(subset=keys), keys, hot_rows).withColumn("is_hot", F.lit(True))
-    hot = hot.drop("key_rows")
-    row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int")
+    counted = (left if hot_from is None else hot_from).dropna(subset=keys)
+    hot = hot_keys(counted, keys, hot_rows).select(*keys, F.lit(True).alias("is_hot"))
+    row_hash = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(spread)).cast("int")
     has_null = F.lit(False)
     for key in keys:
         has_null = has_null | F.col(key).isNull()

@@ -7,14 +7,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlake.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup_join
 
 
-def overlapping(versions: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Versions that begin before an earlier version of the same key has ended."""
+def with_overlap(versions: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Flag versions that begin before an earlier one of the same key has ended."""
     earlier = (
         Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
     )
-    return versions.withColumn("latest_end", F.max(end).over(earlier)).where(
-        F.col(start) <= F.col("latest_end")
-    ).drop("latest_end")
+    latest_end = F.max(end).over(earlier)
+    return versions.withColumn("overlaps", F.coalesce(F.col(start) <= latest_end, F.lit(False)))
 
 
 def validity_join(
@@ -26,13 +25,16 @@ def validity_join(
     end: str,
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    version_rows: int | None = None,
 ) -> DataFrame:
     """Left join on an equal key and a date inside the version's closed interval.
 
     Rows without a version stay with nulls; a row inside two versions comes twice.
     """
     inside: Column = F.col(on).between(F.col(start), F.col(end))
-    return lookup_join(rows, versions, [key], "left", inside, max_broadcast_rows, hot_rows)
+    return lookup_join(
+        rows, versions, [key], "left", inside, max_broadcast_rows, hot_rows, version_rows
+    )
 
 
 def newest_version_join(
@@ -52,10 +54,13 @@ def newest_version_join(
     Versions without overlap cannot multiply a row, so the ranking over all rows
     is only paid when the (much smaller) version table does overlap.
     """
+    seen = with_overlap(versions.select(key, start, end), key, start, end).agg(
+        F.count("*").alias("versions"), F.count_if("overlaps").alias("overlaps")
+    ).first()
     joined = validity_join(
-        rows, versions, key, on, start, end, max_broadcast_rows, hot_rows
+        rows, versions, key, on, start, end, max_broadcast_rows, hot_rows, seen["versions"]
     )
-    if overlapping(versions, key, start, end).isEmpty():
+    if seen["overlaps"] == 0:
         return joined
     newest = Window.partitionBy(*row_key).orderBy(F.col(start).desc_nulls_last(), *tie_break)
     return joined.withColumn("rank", F.row_number().over(newest)).where("rank = 1").drop("rank")

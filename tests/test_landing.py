@@ -1,0 +1,189 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from conftest import as_set
+from pyspark.sql import functions as F
+
+from ledgerlake import schemas
+from ledgerlake.operators import quality
+from ledgerlake.operators.landing import first_file_wins, land
+from ledgerlake.plans import publish
+from ledgerlake.sources import lake, masters, tills
+from ledgerlake.sources.notices import read_labelled_pairs, read_notices
+
+COMMA_HEAD = "bill_no,line_no,product_code,qty,unit_price,line_type,ts\n"
+ORIGINAL = (
+    "S01-1,1,P1,2.000,10.00,SALE,2024-10-14T13:45:02\n"
+    "S01-1,2,P2,1.000,5.50,SALE,2024-10-14T13:45:02\n"
+    "S01-2,1,P1,1.000,10.00,SALE,2024-10-15T00:30:00\n"
+    "S01-2,2,P1,-1.000,10.00,VOID,2024-10-15T00:30:00\n"
+)
+
+
+@pytest.fixture()
+def folder(tmp_path):
+    def write(name, text, encoding="utf-8"):
+        (tmp_path / name).write_text(text, encoding=encoding)
+
+    write("SALES_S01_20241014.csv", COMMA_HEAD + ORIGINAL)
+    write("SALES_S01_20241014__R1.csv", COMMA_HEAD + ORIGINAL)
+    # An incomplete re-send whose surviving line differs must not win.
+    write("SALES_S01_20241014__R2.csv", COMMA_HEAD + "S01-1,1,P1,9.000,99.00,SALE,late\n")
+    write(
+        "SALES_S07_20240131.csv",
+        "bill_no;line_no;item_code;quantity;rate;type;txn_time\n"
+        "S07-1;1;P3;1.500;20.00;SALE;31-01-2024 09:00:00\n",
+    )
+    write(
+        "SALES_S11_20240201.csv",
+        "ts,bill_no,line_no,line_type,product_code,unit_price,qty\n"
+        "1706778000,S11-1,1,RETURN,P4,3.25,-2.000\n",
+        "utf-8-sig",
+    )
+    return str(tmp_path)
+
+
+def test_three_dialects_land_on_one_schema(spark, folder):
+    lines = land(tills.read_tills(spark, folder))
+    assert lines.columns == [
+        "store_id", "business_date", "bill_no", "line_no", "product_code", "qty",
+        "unit_price", "line_type", "ts", "year", "month",
+    ]
+    rows = {(r.bill_no, r.line_no): r for r in lines.collect()}
+    assert len(rows) == 6
+    assert rows["S01-1", 1].qty == Decimal("2.000")  # the original, not the re-send
+    assert rows["S07-1", 1].unit_price == Decimal("20.00")
+    epoch = rows["S11-1", 1]
+    assert (epoch.store_id, epoch.qty, epoch.product_code, epoch.ts, epoch.month) == (
+        "S11", Decimal("-2.000"), "P4", "1706778000", "02",
+    )
+    # Sold after midnight: the file's date counts.
+    assert rows["S01-2", 1].business_date == dt.date(2024, 10, 14)
+    void = [r for key, r in rows.items() if key[0] == "S01-2"]
+    assert sum(r.qty * r.unit_price for r in void) == 0
+
+
+def test_malformed_row_fails_the_load(spark, tmp_path):
+    (tmp_path / "SALES_S02_20240101.csv").write_text(COMMA_HEAD + "b,notanumber,P,1,1,SALE,t\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        tills.read_dialect(spark, f"{tmp_path}/SALES_S0[1-5]_*.csv", tills.COMMA).collect()
+
+
+def test_dedup_is_cut_inside_each_task_before_the_shuffle(spark, folder):
+    plan = first_file_wins(tills.read_tills(spark, folder))._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_rerun_and_input_order_keep_the_checksum(spark, folder):
+    lines = tills.read_tills(spark, folder)
+    first = quality.table_checksum(land(lines)).first()
+    again = quality.table_checksum(land(lines.repartition(3).orderBy(F.desc("ts")))).first()
+    assert first == again and first["row_count"] == 6
+    counts = quality.landed_counts(land(lines)).first()
+    assert counts["landed_rows"] == counts["distinct_lines"] == 6
+
+
+def test_null_marker_tells_rows_apart(spark):
+    rows = spark.createDataFrame([("a", None, "b"), ("a", "b", None)], "x string, y string, z string")
+    assert len(as_set(rows.select(quality.row_text(["x", "y", "z"])))) == 2
+
+
+def test_lake_keeps_text_month_and_prunes(spark, folder, tmp_path):
+    path = str(tmp_path / "lake")
+    lines = land(tills.read_tills(spark, folder))
+    lake.write_lake(lines, path)
+    back = lake.read_lake(spark, path)
+    assert as_set(back, *lines.columns) == as_set(lines)
+    assert {r.month for r in back.select("month").collect()} == {"01", "02", "10"}
+    pruned = back.where(lake.in_partition("S01", 2024, 10))
+    assert pruned.count() == 4
+    assert pruned.inputFiles() and all("store_id=S01" in f for f in back.where(
+        lake.in_partition("S01", 2024, 10)).select("bill_no", F.input_file_name().alias("f"))
+        .agg(F.collect_set("f")).first()[0])
+    period = back.where(lake.in_period(dt.date(2024, 1, 1), dt.date(2024, 2, 1)))
+    plan = period._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert [r.store_id for r in period.collect()] == ["S07"]
+    lake.write_manifest(lines, str(tmp_path / "manifest"))
+    assert spark.read.parquet(str(tmp_path / "manifest")).count() == 6
+
+
+def test_publish_logs_runs_and_failure_keeps_the_old_version(spark, folder, tmp_path, monkeypatch):
+    root = str(tmp_path / "published")
+    with pytest.raises(FileNotFoundError):
+        publish.read_current(spark, root)
+    lines = land(tills.read_tills(spark, folder))
+    for _ in range(3):
+        publish.publish(lines, root)
+    log = publish.publish_log(spark, root).orderBy("run").collect()
+    assert [row["run"] for row in log] == [1, 2, 3]
+    assert len({(row["row_count"], row["checksum"]) for row in log}) == 1
+    real = publish.write_lake
+
+    def lossy(rows, path, *rest):
+        real(rows.where("line_no = 1"), path)
+        real_observed(rows, *rest)
+
+    def real_observed(rows, observation, metrics):
+        rows.observe(observation, *metrics).write.format("noop").mode("overwrite").save()
+
+    monkeypatch.setattr(publish, "write_lake", lossy)
+    with pytest.raises(publish.PublishError):
+        publish.publish(lines, root)
+    assert publish.read_current(spark, root).count() == 6
+    assert publish.publish_log(spark, root).count() == 3
+    publish.write_result_csv(publish.publish_log(spark, root), str(tmp_path / "log.csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "log.csv")).count() == 3
+
+
+def test_notice_shards_later_row_wins_and_bodies_hold_line_breaks(spark, tmp_path):
+    head = "notice_id,portal_id,title,body,published_at,estimated_value\n"
+    (tmp_path / "part-000.csv").write_text(
+        head + 'N1,P1,Old,"first\nline, ""quoted""",2024-01-01,1\nN2,P1,T2,b2,2024-01-01,2\n',
+        encoding="utf-8-sig",
+    )
+    (tmp_path / "part-001.csv").write_text(head + 'N1,P2,New,"x\ny",2024-01-02,3\nN1,P2,Newest,z,,\n')
+    shards = [str(tmp_path / f"part-00{n}.csv") for n in (0, 1)]
+    rows = {r.notice_id: r for r in read_notices(spark, shards).collect()}
+    assert rows["N1"].title == "Newest" and len(rows) == 2
+    first = read_notices(spark, shards[:1]).where("notice_id = 'N1'").first()
+    assert first.body == 'first\nline, "quoted"'
+    (tmp_path / "labels.csv").write_text("notice_id_a,notice_id_b,label\nN2,N1,same\n", "utf-8-sig")
+    pairs = read_labelled_pairs(spark, str(tmp_path / "labels.csv")).collect()
+    assert [tuple(p) for p in pairs] == [("N1", "N2", "same")]
+
+
+def test_masters_are_typed_and_checked(spark, tmp_path):
+    products = spark.createDataFrame(
+        [(1, "A", "a", "C1", "2024-01-01", None, "true"), (1, "B", "b", "C9", "2024-01-01",
+                                                          "2024-05-31", "false")],
+        "product_sk int, product_code string, product_name string, category_id string,"
+        "valid_from string, valid_to string, is_current string",
+    ).selectExpr("*", "null as brand", "null as pack_size", "null as uom")
+    typed = masters.as_declared(products, "products")
+    typed.write.parquet(str(tmp_path / "products"))
+    back = masters.read_master(spark, "products", str(tmp_path))
+    assert back.schema.simpleString() == schemas.PRODUCTS.simpleString()
+    assert back.where("product_code = 'A'").first().valid_to == dt.date(9999, 12, 31)
+    empty = {
+        "stores": spark.createDataFrame([], schemas.STORES),
+        "product_categories": spark.createDataFrame(
+            [("C1", "Snacks", "Food", Decimal("0.180"))], schemas.CATEGORIES),
+        "products": back,
+        "price_revisions": spark.createDataFrame(
+            [(1, 7, Decimal(1), Decimal(1), dt.date(2024, 1, 1), dt.date(2024, 2, 1))],
+            schemas.PRICE_REVISIONS),
+    }
+    found = dict(as_set(quality.master_violations(empty)))
+    assert found["products.product_sk unique"] == 1
+    assert found["products.category_id known"] == 1
+    assert found["price_revisions.product_sk known"] == 1
+    assert found["stores.store_id unique"] == 0 and found["products required columns"] == 0
+
+
+def test_finance_file(spark, tmp_path):
+    (tmp_path / "finance.csv").write_text(
+        "month,closed_on,revenue_inr,signed_off_by\n2024-05,2024-06-09,41764716.4,Finance\n")
+    row = masters.read_finance(spark, str(tmp_path / "finance.csv")).first()
+    assert row.revenue_inr == Decimal("41764716.40") and row.closed_on == dt.date(2024, 6, 9)
