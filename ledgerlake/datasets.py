@@ -303,7 +303,7 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("first"),
         F.count("*").alias("copies"),
     )
-    firsts = firsts.where("copies > 1").select("title", "first.*")
+    firsts = materialize(firsts.where("copies > 1").select("title", "first.*"), "titles")
     titled = lookup_join(
         rows, firsts, ["title"], "inner", F.col("notice_id") != F.col("first_id")
     )
@@ -333,12 +333,19 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(ordered_pairs(by_title.unionByName(neighbours)), "labelled-pairs")
 
 
-def signatures(spark: SparkSession, sf_dir: str, family: LaneFamily) -> DataFrame:
-    """Stored (notice_id, signature); null where a text has no 3-shingle."""
-    rows = notice_tokens(spark, sf_dir).select(
+def signatures(rows: DataFrame, family: LaneFamily) -> DataFrame:
+    """Stored (notice_id, signature) of (notice_id, tokens); null without 3-shingles."""
+    signed = rows.select(
         "notice_id", signature(shingles(F.col("tokens"), 3), family).alias("signature")
     )
-    return materialize(rows, "signatures")
+    return materialize(signed, "signatures")
+
+
+def benchmark_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items as probe notices, numbered below zero to stay apart."""
+    return table(spark, sf_dir, "benchmark").select(
+        (-1 - F.col("item_id")).alias("notice_id"), tokens(F.col("text")).alias("tokens")
+    )
 
 
 def bands(stored_signatures: DataFrame, rows: int, count: int) -> DataFrame:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.operators.lsh import BUCKET_CAP, pairs_within, sized_rows
+from ledgerlake.operators.percentiles import percentiles
 from ledgerlake.operators.skew import HOT_ROWS, lookup_join
 from ledgerlake.session import materialize
 
@@ -27,9 +28,15 @@ class OversizedClasses:
     reach: DataFrame  # class_id, reach: notices sharing an oversized bucket, itself included
 
 
-def oversized_classes(sized: DataFrame, cap: int = BUCKET_CAP) -> OversizedClasses:
-    """Classes of the notices in buckets above ``cap``. ``sized`` must be stored."""
-    bucket = F.concat_ws(":", F.col("band_no").cast("string"), "band_hash")
+def oversized_classes(
+    sized: DataFrame, cap: int = BUCKET_CAP, hot_rows: int = HOT_ROWS
+) -> OversizedClasses:
+    """Classes of the notices in buckets above ``cap``. ``sized`` must be stored.
+
+    Copies always share a class. The work follows the pairs of distinct classes
+    that share a bucket, and is spread over tasks where one bucket has very many.
+    """
+    bucket = F.concat_ws(":", F.col("band_no").cast("string"), F.hex("band_hash"))
     # A notice has one row per band, so its list is no longer than the band count.
     sets = (
         sized.where(F.col("bucket_size") > cap)
@@ -42,18 +49,20 @@ def oversized_classes(sized: DataFrame, cap: int = BUCKET_CAP) -> OversizedClass
         F.any_value("buckets").alias("buckets"), F.count("*").alias("weight")
     )
     sides = classes.select("class_id", F.explode("buckets").alias("bucket"))
-    neighbours = (
-        sides.select(F.col("class_id").alias("class_a"), "bucket")
-        .join(sides.select(F.col("class_id").alias("class_b"), "bucket"), "bucket")
-        .select("class_a", "class_b")
-        .distinct()
+    sharing = lookup_join(
+        sides.select(F.col("class_id").alias("class_a"), "bucket"),
+        sides.select(F.col("class_id").alias("class_b"), "bucket"),
+        ["bucket"], "inner", hot_rows=hot_rows,
+    )
+    neighbours = materialize(
+        sharing.select("class_a", "class_b").distinct(), "oversized-neighbours"
     )
-    neighbours = materialize(neighbours, "oversized-neighbours")
     weights = classes.select(F.col("class_id").alias("class_b"), "weight")
-    reach = (
+    reach = materialize(
         neighbours.join(weights, "class_b")
         .groupBy(F.col("class_a").alias("class_id"))
-        .agg(F.sum("weight").alias("reach"))
+        .agg(F.sum("weight").alias("reach")),
+        "oversized-reach",
     )
     return OversizedClasses(members.select("notice_id", "class_id"), neighbours, reach)
 
@@ -111,7 +120,7 @@ def candidate_graph(
         sized_rows(bands, hot_rows).where("bucket_size > 1"), "sized-bands"
     )
     pairs = materialize(pairs_within(sized, cap), "candidate-pairs")
-    classes = oversized_classes(sized, cap)
+    classes = oversized_classes(sized, cap, hot_rows)
     return CandidateGraph(
         pairs, classes, counts_before(pairs, classes, hot_rows), counts_from_pairs(pairs)
     )
@@ -127,13 +136,15 @@ def with_counts(notices: DataFrame, counts: DataFrame) -> DataFrame:
 def candidate_stats(notices: DataFrame, counts: DataFrame) -> DataFrame:
     """Pairs and per-notice load; both percentile definitions are in use."""
     load = with_counts(notices, counts)
+    ranks = percentiles(load, "candidate_count")
     return load.agg(
         (F.sum("candidate_count") / 2).cast("bigint").alias("candidate_pairs"),
         F.avg("candidate_count").alias("average_candidates"),
-        F.expr("percentile(candidate_count, 0.95)").alias("p95_candidates"),
-        F.expr("percentile_disc(0.95) within group (order by candidate_count)")
-        .cast("bigint").alias("p95_nearest_rank"),
         F.max("candidate_count").alias("max_candidates"),
+    ).select(
+        "*",
+        ranks.select("interpolated").scalar().alias("p95_candidates"),
+        ranks.select("nearest_rank").scalar().alias("p95_nearest_rank"),
     )
 
 

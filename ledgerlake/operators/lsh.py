@@ -9,7 +9,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlake.operators.percentiles import percentiles
 from ledgerlake.operators.skew import HOT_ROWS, lookup_join, with_group_size
+from ledgerlake.session import materialize
 
 BUCKET = ("band_no", "band_hash")
 BUCKET_CAP = 100
@@ -21,8 +23,8 @@ def band_hashes(signature: Column, rows: int, bands: int) -> Column:
     """Array of one 128-bit hash per band of ``rows`` lanes."""
     return F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
-        lambda band: F.md5(
-            F.concat_ws("-", F.slice(signature, band * rows + 1, rows).cast("array<string>"))
+        lambda band: F.unhex(
+            F.md5(F.concat_ws("-", F.slice(signature, band * rows + 1, rows).cast("array<string>")))
         ),
     )
 
@@ -126,11 +128,14 @@ def bucket_work(sweep_bands: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     per_notice = sized.groupBy("band_rows", "notice_id").agg(
         F.sum(F.col("bucket_size") - 1).alias("work"), F.count("*").alias("bands")
     )
-    return per_notice.groupBy("band_rows").agg(
+    per_notice = materialize(per_notice, "bucket-work")
+    ranks = percentiles(per_notice, "work", ["band_rows"])
+    totals = per_notice.groupBy("band_rows").agg(
         F.max("bands").alias("bands"),
         (F.sum("work") / 2).cast("bigint").alias("bucket_pair_hits"),
         F.avg("work").alias("average_work"),
-        F.expr("percentile_disc(0.95) within group (order by work)")
-        .cast("bigint").alias("p95_work"),
         F.max("work").alias("max_work"),
     )
+    return totals.join(
+        ranks.select("band_rows", F.col("nearest_rank").alias("p95_work")), "band_rows"
+    )

@@ -14,7 +14,7 @@ BROADCAST_ROWS = 100_000
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; stops reading beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.select(F.lit(1)).offset(max_rows).isEmpty()
 
 
 def hot_keys(

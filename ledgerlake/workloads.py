@@ -273,7 +273,7 @@ def example_pairs(spark, sf_dir):
 
 
 def _signatures(spark, sf_dir):
-    return data.signatures(spark, sf_dir, portable_family(LANES))
+    return data.signatures(data.notice_tokens(spark, sf_dir), portable_family(LANES))
 
 
 def _bands(spark, sf_dir):
@@ -304,9 +304,9 @@ def near_duplicate_candidates(spark, sf_dir):
     return lsh.candidate_pairs(data.bands(stored, rows, signature_size() // rows))
 
 
-def _estimates(spark, sf_dir):
+def _estimates(spark, sf_dir, pairs):
     signed = _signatures(spark, sf_dir).where("signature is not null")
-    both = evaluate.attach_both(data.labelled_pairs(spark, sf_dir), signed, "signature", 1_000)
+    both = evaluate.attach_both(pairs, signed, "signature", 1_000)
     return both.select(
         *evaluate.PAIR,
         estimated_jaccard(F.col("left_signature"), F.col("right_signature"), LANES)
@@ -315,11 +315,17 @@ def _estimates(spark, sf_dir):
 
 
 def minhash_estimate(spark, sf_dir):
-    return _estimates(spark, sf_dir).withColumns(_round("minhash_estimate"))
+    pairs = data.labelled_pairs(spark, sf_dir)
+    return _estimates(spark, sf_dir, pairs).withColumns(_round("minhash_estimate"))
 
 
 def _errors(spark, sf_dir):
-    return evaluate.estimator_errors(_scored(spark, sf_dir), _estimates(spark, sf_dir))
+    pairs = data.labelled_pairs(spark, sf_dir)
+    errors = evaluate.estimator_errors(
+        evaluate.score_pairs(pairs, data.notice_tokens(spark, sf_dir)),
+        _estimates(spark, sf_dir, pairs),
+    )
+    return materialize(errors, "pair-errors")
 
 
 def pair_errors(spark, sf_dir):
@@ -334,12 +340,16 @@ def estimator_error(spark, sf_dir):
     )
 
 
+def _as_text(bands):
+    return bands.withColumn("band_hash", F.lower(F.hex("band_hash")))
+
+
 def lsh_bands(spark, sf_dir):
-    return lsh.band_rows(_signatures(spark, sf_dir), BAND_ROWS, BANDS)
+    return _as_text(lsh.band_rows(_signatures(spark, sf_dir), BAND_ROWS, BANDS))
 
 
 def bucket_cap(spark, sf_dir):
-    return lsh.suppress_oversized(_bands(spark, sf_dir), CAP)
+    return _as_text(lsh.suppress_oversized(_bands(spark, sf_dir), CAP))
 
 
 def lsh_candidates(spark, sf_dir):
@@ -347,10 +357,11 @@ def lsh_candidates(spark, sf_dir):
 
 
 def probe_candidates(spark, sf_dir):
-    """All candidates of every notice that has a quality label."""
-    bands = _bands(spark, sf_dir)
-    probes = data.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("notice_id"))
-    return lsh.probe_candidates(bands.join(probes.distinct(), "notice_id", "left_semi"), bands)
+    """All candidates among the notices of every benchmark item."""
+    items = data.signatures(data.benchmark_tokens(spark, sf_dir), portable_family(LANES))
+    return lsh.probe_candidates(
+        data.bands(items, BAND_ROWS, BANDS), _bands(spark, sf_dir)
+    )
 
 
 def bucket_work_sweep(spark, sf_dir):
@@ -395,10 +406,8 @@ def hottest_documents(spark, sf_dir):
     return _stages(notices, _graph(spark, sf_dir), candidates.hottest_notices)
 
 
-def _survived(spark, sf_dir, signed, bands):
-    return evaluate.survival(
-        data.labelled_pairs(spark, sf_dir), signed, bands, BAND_ROWS, BANDS, CAP
-    )
+def _survived(pairs, signed, bands):
+    return evaluate.survival(pairs, signed, bands, BAND_ROWS, BANDS, CAP)
 
 
 def mitigation_compare(spark, sf_dir):
@@ -409,7 +418,9 @@ def mitigation_compare(spark, sf_dir):
     report = evaluate.mitigation_report(
         candidates.candidate_stats(notices, graph.before),
         candidates.candidate_stats(notices, graph.after),
-        materialize(_survived(spark, sf_dir, signed, bands), "survived"),
+        materialize(
+            _survived(data.labelled_pairs(spark, sf_dir), signed, bands), "survived"
+        ),
     )
     return report.withColumns(_round("average_candidates", "p95_candidates"))
 
@@ -417,15 +428,17 @@ def mitigation_compare(spark, sf_dir):
 def labelled_survival(spark, sf_dir):
     signed = _signatures(spark, sf_dir)
     bands = data.bands(signed, BAND_ROWS, BANDS)
-    survived = _survived(spark, sf_dir, signed, bands)
+    survived = _survived(data.labelled_pairs(spark, sf_dir), signed, bands)
     return evaluate.survival_by_label(survived).withColumns(_round("survival"))
 
 
 def survival_by_bin(spark, sf_dir):
     signed = _signatures(spark, sf_dir)
     bands = data.bands(signed, BAND_ROWS, BANDS)
+    pairs = data.labelled_pairs(spark, sf_dir)
     binned = evaluate.survival_by_bin(
-        _scored(spark, sf_dir), _survived(spark, sf_dir, signed, bands), BAND_ROWS, BANDS
+        evaluate.score_pairs(pairs, data.notice_tokens(spark, sf_dir)),
+        _survived(pairs, signed, bands), BAND_ROWS, BANDS,
     )
     return binned.withColumns(
         _round("similarity_low", "similarity_high", "observed_survival_probability",

@@ -1,10 +1,12 @@
 import datetime as dt
 import random
 from collections import Counter
+from math import ceil
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.percentiles import percentiles
 from ledgerlake.operators.skew import (
     fits_broadcast, hot_keys, lookup_join, with_group_size,
 )
@@ -117,3 +119,21 @@ def test_guard_costs_nothing_without_overlap(spark, versions):
     kept = newest_version_join(sales, versions, "code", "day", "starts", "ends", ["line"])
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "BroadcastHashJoin" in plan and "Exchange hash" not in plan
+
+
+@pytest.mark.parametrize("count", [1, 2, 20, 99, 40_000])
+def test_percentiles_equal_sorting_all_values(spark, count):
+    chance = random.Random(count)
+    rows = [(f"g{n % 2}", chance.choice([0, 0, 1, chance.randrange(10**6)])) for n in range(2 * count)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    got = {r.g: r for r in percentiles(df, "v", ["g"]).collect()}
+    for group in ("g0", "g1"):
+        values = sorted(v for g, v in rows if g == group)
+        position = 0.95 * (len(values) - 1)
+        low = int(position)
+        high = min(low + 1, len(values) - 1)
+        between = values[low] + (values[high] - values[low]) * (position - low)
+        assert got[group].nearest_rank == values[ceil(0.95 * len(values)) - 1]
+        assert abs(got[group].interpolated - between) < 1e-6
+    whole = percentiles(df, "v").first()
+    assert whole.nearest_rank == sorted(v for _, v in rows)[ceil(0.95 * len(rows)) - 1]

@@ -86,7 +86,8 @@ def corpus(seed, notices, hot):
 def band_table(spark, keys):
     rows = [(n, band, key) for n, own in keys.items() for band, key in enumerate(own)]
     return materialize(
-        spark.createDataFrame(rows, "notice_id long, band_no int, band_hash string"), "test-bands"
+        spark.createDataFrame(rows, "notice_id long, band_no int, band_hash string")
+        .withColumn("band_hash", F.col("band_hash").cast("binary")), "test-bands"
     )
 
 
