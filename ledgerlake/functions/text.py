@@ -74,12 +74,14 @@ def shingles(token_list: Column, width: int) -> Column:
     """Distinct runs of ``width`` tokens; none if the text is shorter than that."""
     if width == 1:
         return F.array_distinct(token_list)
-    runs = F.transform(
-        F.sequence(F.lit(1), F.size(token_list) - (width - 1)),
-        lambda start: F.concat_ws(" ", F.slice(token_list, start, width)),
-    )
-    none = F.array().cast("array<string>")
-    return F.array_distinct(F.when(F.size(token_list) >= width, runs).otherwise(none))
+    starts = F.slice(token_list, 1, F.greatest(F.size(token_list) - (width - 1), F.lit(0)))
+
+    def run(token, at):
+        rest = [part for step in range(1, width)
+                for part in (F.lit(" "), F.get(token_list, at + step))]
+        return F.concat(token, *rest)
+
+    return F.array_distinct(F.transform(starts, run))
 
 
 def jaccard(common: Column, left: Column, right: Column) -> Column:

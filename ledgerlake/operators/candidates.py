@@ -135,7 +135,7 @@ def with_counts(notices: DataFrame, counts: DataFrame) -> DataFrame:
 
 def candidate_stats(notices: DataFrame, counts: DataFrame) -> DataFrame:
     """Pairs and per-notice load; both percentile definitions are in use."""
-    load = with_counts(notices, counts)
+    load = materialize(with_counts(notices, counts), "candidate-load")
     ranks = percentiles(load, "candidate_count")
     return load.agg(
         (F.sum("candidate_count") / 2).cast("bigint").alias("candidate_pairs"),
