@@ -65,34 +65,34 @@ def portable_family(size: int) -> LaneFamily:
     )
 
 
-def _minima(hashes: np.ndarray, multipliers, offsets, modulus) -> np.ndarray:
-    """Minimum of each lane over one document's base hashes."""
-    lowest = []
-    for lane in range(0, len(multipliers), _LANES_AT_ONCE):
-        factor = multipliers[lane:lane + _LANES_AT_ONCE, None]
-        shift = offsets[lane:lane + _LANES_AT_ONCE, None]
-        best = None
-        for start in range(0, len(hashes), _HASHES_AT_ONCE):
-            values = factor * hashes[None, start:start + _HASHES_AT_ONCE]
-            values += shift
-            if modulus is not None:
-                values %= modulus
-            block = values.min(axis=1)
-            best = block if best is None else np.minimum(best, block)
-        lowest.append(best)
-    return np.concatenate(lowest)
-
-
 def lane_minima(family: LaneFamily) -> Callable[[Column], Column]:
     """Arrow function: base hashes of a document to its signature.
 
-    A document without shingles has no signature (null).
+    A document without shingles has no signature (null). All it needs is local, so
+    executors run it without this package installed.
     """
     # Unsigned 64-bit arithmetic wraps; the modular family stays below 2^57.
     multipliers = np.array(family.multipliers, dtype=np.uint64)
     offsets = np.array(family.offsets, dtype=np.uint64)
     modulus = None if family.modulus is None else np.uint64(family.modulus)
-    size = family.size
+    size, lanes_at_once, hashes_at_once = family.size, _LANES_AT_ONCE, _HASHES_AT_ONCE
+
+    def lowest(hashes: np.ndarray) -> np.ndarray:
+        """Minimum of each lane over one document's base hashes."""
+        found = []
+        for lane in range(0, size, lanes_at_once):
+            factor = multipliers[lane:lane + lanes_at_once, None]
+            shift = offsets[lane:lane + lanes_at_once, None]
+            best = None
+            for start in range(0, len(hashes), hashes_at_once):
+                values = factor * hashes[None, start:start + hashes_at_once]
+                values += shift
+                if modulus is not None:
+                    values %= modulus
+                block = values.min(axis=1)
+                best = block if best is None else np.minimum(best, block)
+            found.append(best)
+        return np.concatenate(found)
 
     @F.arrow_udf("array<bigint>")
     def minima(bases: pa.Array) -> pa.Array:
@@ -101,9 +101,7 @@ def lane_minima(family: LaneFamily) -> Callable[[Column], Column]:
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
         filled = ends > starts
         rows = [
-            _minima(values[start:end], multipliers, offsets, modulus)
-            for start, end in zip(starts, ends)
-            if end > start
+            lowest(values[start:end]) for start, end in zip(starts, ends) if end > start
         ]
         flat = np.concatenate(rows) if rows else np.empty(0, dtype=np.uint64)
         bounds = np.concatenate([[0], np.cumsum(filled) * size]).astype(np.int32)

@@ -191,3 +191,44 @@ def historical_price_report(
         F.col("business_date") < F.lit(end)
     )
     return historical_prices(sold, revisions, period)
+
+
+def register_price_function(
+    fact: DataFrame, revisions: DataFrame, name: str = "historical_price_report"
+) -> None:
+    """Offer the report to SQL as ``SELECT * FROM name(DATE ..., DATE ...)``.
+
+    The SQL restates ``historical_price_report`` for one period; it too adds lines
+    up per product and day before they meet the prices.
+    """
+    fact.createOrReplaceTempView(f"{name}_fact")
+    revisions.createOrReplaceTempView(f"{name}_revisions")
+    fact.sparkSession.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(report_start DATE, report_end DATE)
+        RETURNS TABLE
+        RETURN WITH daily AS (
+            SELECT product_key, business_date, count(*) AS line_count, sum(qty) AS qty,
+                   sum(revenue_amount) AS printed, sum(qty * unit_price) AS net
+            FROM {name}_fact
+            WHERE is_revenue AND business_date >= {name}.report_start
+              AND business_date < {name}.report_end
+            GROUP BY product_key, business_date
+        ), priced AS (
+            SELECT d.*, r.selling_price, coalesce(d.qty * r.selling_price, d.net) AS listed
+            FROM daily d LEFT JOIN {name}_revisions r
+              ON r.product_sk = d.product_key
+             AND d.business_date BETWEEN r.effective_from AND r.effective_to
+        )
+        SELECT {name}.report_start AS period_start,
+               date_sub({name}.report_end, 1) AS period_end,
+               coalesce(sum(line_count), 0) AS revenue_lines,
+               coalesce(sum(line_count) FILTER (WHERE selling_price IS NOT NULL), 0)
+                 AS lines_using_revision_price,
+               coalesce(sum(line_count) FILTER (WHERE selling_price IS NULL), 0)
+                 AS lines_using_printed_price,
+               cast(round(sum(printed), 2) AS {schemas.MONEY}) AS printed_till_revenue,
+               cast(round(sum(listed), 2) AS {schemas.MONEY}) AS historical_price_revenue,
+               cast(round(sum(listed) - sum(printed), 2) AS {schemas.MONEY})
+                 AS historical_minus_printed
+        FROM priced
+    """)

@@ -9,7 +9,8 @@ from ledgerlake.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    os.chdir(tmp_path_factory.mktemp("work"))  # saved tables go here, not into the repository
     session = local_session(4, "tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -12,6 +12,7 @@ from ledgerlake.operators import candidates, lsh
 from ledgerlake.operators.minhash import (
     estimated_jaccard, portable_family, signature, signature_size, wide_family,
 )
+from ledgerlake.plans import tables
 from ledgerlake.session import materialize
 
 
@@ -190,3 +191,25 @@ def test_load_reports(spark):
     hottest = candidates.hottest_notices(notices, tied).collect()
     assert [r.notice_id for r in hottest] == [0, 19, 18, 17, 16, 15, 14, 13, 12, 11]
     assert len(candidates.hottest_notices(notices, counts.limit(3)).collect()) == 3
+
+
+def test_saved_index_is_probed_without_moving_the_band_table(spark):
+    keys = corpus(3, 200, True)
+    bands = band_table(spark, keys)
+    notices = spark.createDataFrame([(n, "P1") for n in keys], "notice_id long, portal_id string")
+    spark.sql("CREATE DATABASE IF NOT EXISTS notices_test")
+    try:
+        tables.save_tables({"portal": notices.select("portal_id").distinct()}, "notices_test")
+        tables.save_notice_index(notices, bands, 4, "notices_test")
+        stored = spark.table("notices_test.lsh_band")
+        assert as_set(stored) == as_set(bands) and spark.table("notices_test.portal").count() == 1
+        probes = stored.where("notice_id = 1").select(
+            F.col("notice_id").alias("probe_id"), *lsh.BUCKET)
+        joined = stored.join(probes.hint("merge"), list(lsh.BUCKET))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        others = as_set(lsh.probe_candidates(stored.where("notice_id = 1"), stored))
+        both = pairs_of(keys) | {(b, a) for a, b in pairs_of(keys)}
+        assert others == {pair for pair in both if pair[0] == 1}
+    finally:
+        spark.sql("DROP DATABASE notices_test CASCADE")

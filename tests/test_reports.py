@@ -150,6 +150,15 @@ def test_historical_prices_use_the_revision_of_the_day(shop):
     assert empty.revenue_lines == 0 and empty.printed_till_revenue is None
 
 
+def test_price_report_as_a_sql_function(shop, spark):
+    reports.register_price_function(shop["fact"], shop["prices"], "price_report")
+    for start, end in ((D(2024, 5, 1), D(2024, 6, 1)), (D(2024, 6, 1), D(2024, 7, 1)),
+                       (D(2023, 1, 1), D(2023, 2, 1))):
+        got = spark.sql(f"SELECT * FROM price_report(DATE '{start}', DATE '{end}')")
+        want = reports.historical_price_report(shop["fact"], shop["prices"], start, end)
+        assert got.columns == want.columns and got.collect() == want.collect()
+
+
 # Published monthly totals: pipeline, finance.
 MONTHS = [
     ("2024-01", "38446071.33", "38446071.33"), ("2024-02", "34887085.55", "34887085.55"),
