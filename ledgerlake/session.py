@@ -16,6 +16,8 @@ def local_session(cores: int | str = "*", app: str = "ledgerlake") -> SparkSessi
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # Long documents make wide rows; fewer of them go to Python at a time.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
