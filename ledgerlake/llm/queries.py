@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import line_dedup, secret_scan
+from ledgerlake.llm import embedding_dedup, line_dedup, secret_scan, simhash
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +18,17 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
 }
