@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import embedding_dedup, line_dedup, secret_scan, simhash
+from ledgerlake.llm import decontaminate, embedding_dedup, line_dedup, secret_scan, simhash
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,17 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it leaks; clean documents have none."""
+    return decontaminate.leak_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
