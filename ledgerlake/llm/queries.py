@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, embedding_dedup, line_dedup, secret_scan, simhash
+from ledgerlake.llm import bpe, decontaminate, embedding_dedup, language, line_dedup, secret_scan, simhash
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,18 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item that it leaks; clean documents have none."""
     return decontaminate.leak_report(
@@ -37,6 +45,8 @@ QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
