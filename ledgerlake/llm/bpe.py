@@ -21,7 +21,7 @@ NEVER = 1 << 62
 # Stands for the end of a word; no byte has this code.
 END = "Ā"
 
-# The normalizer and word pattern that :meth:`Codec._plain_words` restates.
+# The normalizer and word pattern that ``_PLAIN_WORDS`` restates.
 _PLAIN_NORMALIZER = ["NFC", "Replace", "Lowercase"]
 _PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
@@ -32,6 +32,10 @@ _NOT_PLAIN = re.compile(
 )
 
 
+def is_plain(text: str) -> bool:
+    return _NOT_PLAIN.search(text) is None
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -196,7 +200,7 @@ class Codec:
 
     def _encode_segment(self, text: str) -> list[int]:
         """Text without special tokens. No word crosses a blank."""
-        if self._plain and _NOT_PLAIN.search(text) is None:
+        if self._plain and is_plain(text):
             return list(chain.from_iterable(map(self._chunks.__getitem__, text.lower().split())))
         if self._library.normalizer is not None:
             text = self._library.normalizer.normalize_str(text)

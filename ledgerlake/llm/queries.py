@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import bpe, decontaminate, embedding_dedup, language, line_dedup, secret_scan, simhash
+from ledgerlake.llm import (
+    bpe, decontaminate, embedding_dedup, language, line_dedup, secret_scan, simhash, token_files,
+)
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +43,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -49,4 +55,5 @@ QUERIES: dict[str, Query] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_token_files": op9_token_files,
 }
