@@ -47,6 +47,18 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts))
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows named by ``gone(doc_id, version)``; all columns as given.
+
+    ``version`` is ``xxhash64`` of the text. Null ids and null texts match as well. Only
+    names are gathered in ``gone``; the documents move once.
+    """
+    names = gone.select(F.struct("doc_id", "version").alias("owner")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
+    key = F.struct(F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("version"))
+    return rows.join(names, key.eqNullSafe(F.col("owner")), "left_anti").select("row.*")
+
+
 def in_blocks(
     members: DataFrame, bucket: str, member: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -127,8 +139,8 @@ def components(edges: DataFrame) -> DataFrame:
     that grows with the logarithm of the longest chain. Large star: every larger
     neighbour of a node moves to the node's smallest neighbour. Small star: the node
     itself and its smaller neighbours move to the smallest. Minima are combined before
-    their shuffle; the join that hands them back has one row per node on one side, so
-    Spark splits a hub on the other. Each round is a stored table: no lineage grows
+    their shuffle and stored, so that the join that hands them back shuffles both sides
+    and Spark can split a hub; the side of the minima has one row per node. Each round is a stored table: no lineage grows
     and a lost executor costs at most one round. Nodes without an edge are absent.
     """
     current = materialize(
@@ -138,13 +150,13 @@ def components(edges: DataFrame) -> DataFrame:
     state = _fingerprint(current)
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        smallest = both.groupBy("a").agg(F.min("b").alias("m"))
+        smallest = materialize(both.groupBy("a").agg(F.min("b").alias("m")), "smallest")
         large = (
             both.join(smallest, "a").where("b > a")
             .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
         )
         large = materialize(large, "large-star")
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
+        smallest = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "smallest")
         moved = large.join(smallest, "a").where("b <> m").select(
             F.col("b").alias("a"), F.col("m").alias("b")
         )

@@ -5,6 +5,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlake.llm.common import without
 from ledgerlake.session import materialize
 
 # A document leaks an item if 13 aligned tokens agree in at least 11 (0.8 or more).
@@ -148,12 +149,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, pass_seeds: int = PASS_SEEDS) -
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text leaks an item; all columns as given."""
-    leaked = leaks(docs.select("doc_id", "text"), benchmark).select(
-        F.struct("doc_id", "version").alias("owner")
-    ).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    key = F.struct(F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("version"))
-    return rows.join(leaked, key.eqNullSafe(F.col("owner")), "left_anti").select("row.*")
+    return without(docs, leaks(docs.select("doc_id", "text"), benchmark))
 
 
 def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

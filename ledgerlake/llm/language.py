@@ -156,5 +156,5 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """``docs`` without rows of no known language or below ``min_score``; same columns."""
     guess = predictor(learning_rows(docs.select("doc_id", "text", "lang")))
-    judged = docs.select(F.struct(*docs.columns).alias("row"), guess(F.col("text")).alias("p"))
+    judged = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), guess(F.col("text")).alias("p"))
     return judged.where((F.col("p.lang") != UNKNOWN) & (F.col("p.score") >= min_score)).select("row.*")

@@ -81,7 +81,7 @@ def dedup_lines(
         .select(F.struct("doc_id", "version").alias("owner"), "gone")
     )
     rest = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
-    rows = docs.select(F.struct(*rest).alias("row"))
+    rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in rest)).alias("row"))
     key = F.struct(F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("version"))
     joined = rows.join(dropped, key.eqNullSafe(F.col("owner")), "left")
     cut = joined.select("row", "gone", _lines(F.col("row.text")).alias("lines"))

@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import (
-    bpe, decontaminate, embedding_dedup, language, line_dedup, secret_scan, simhash, token_files,
+    bpe, decontaminate, embedding_dedup, language, line_dedup, quality, secret_scan, simhash,
+    token_files, toxicity,
 )
 from ledgerlake.llm.common import table
 
@@ -24,6 +25,11 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return quality.score_quality(table(spark, sf_dir, "documents"), quality.ratings(labels))
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -47,13 +53,19 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
+    "op10_toxicity": op10_toxicity,
 }

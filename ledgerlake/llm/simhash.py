@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.llm.common import (
-    components, dealt, groups_of, in_blocks, local_roots, workers_import,
+    components, dealt, groups_of, in_blocks, local_roots, without, workers_import,
 )
 from ledgerlake.session import materialize
 
@@ -83,14 +83,17 @@ def _majority(hashes: np.ndarray) -> np.uint64:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)`` for each row, computed in Arrow batches from whole texts."""
+    """``(doc_id, version, fp)`` for each row, computed in Arrow batches from whole texts.
+
+    ``version`` is a hash of the text, which tells rows apart that share an id.
+    """
     workers_import(docs.sparkSession)
 
     @F.pandas_udf("long")
     def compute(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(text) for text in texts], dtype="int64")
 
-    return docs.select("doc_id", compute("text").alias("fp"))
+    return docs.select("doc_id", F.xxhash64("text").alias("version"), compute("text").alias("fp"))
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +122,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document row: ``doc_id``, ``fp`` and ``component_id``.
+    """One row per document row: ``doc_id``, ``version``, ``fp`` and ``component_id``.
 
     Documents link if their fingerprints differ in at most 4 bits; ``component_id`` is
     the smallest doc_id reachable. Equal fingerprints collapse first, so a group of
@@ -151,10 +154,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     owner = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     named = materialize(rooted.join(owner, "root").select("fp", "component_id"), "components")
-    return signed.join(named, "fp").select("doc_id", "fp", "component_id")
+    return signed.join(named, "fp").select("doc_id", "version", "fp", "component_id")
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_representatives(docs: DataFrame) -> DataFrame:
+    """``docs`` without rows whose component has a smaller id; all columns as given.
+
+    Rows that share an id are one document: its rows stay or go each by its own text.
+    Rows without id go if any document with an id is in their group.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"))
+    return without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
