@@ -15,22 +15,18 @@ from ledgerlake.operators.lsh import band_rows
 from ledgerlake.operators.minhash import LaneFamily, signature
 from ledgerlake.operators.skew import lookup_join
 from ledgerlake.plans import reconcile, star
-from ledgerlake.session import materialize, spread
+from ledgerlake.session import materialize
 from ledgerlake.sources import tills
 from ledgerlake.sources.masters import as_declared
 from ledgerlake.sources.notices import ordered_pairs
 
 REISSUE_DAY = "1998-06-01"
+REVISED_DAY = "1997-01-01"
 YEAR = "1996"  # the year whose three known months differ from finance
 
 
-# The tables whose rows cost real work, and a key that spreads them evenly.
-_SPREAD = {"lineitem": ("l_orderkey", "l_linenumber"), "documents": ("doc_id",)}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(rows, *_SPREAD[name]) if name in _SPREAD else rows
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _store(supplier: str) -> Column:
@@ -138,8 +134,12 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product versions: every 50th code is reissued to another product."""
+    """Product versions: every 50th code is reissued to another product.
+
+    Some others get a revised version while the first is still valid.
+    """
     reissued = F.col("p_partkey") % 50 == 0
+    revised = F.col("p_partkey") % 60 == 11
     start = F.when(F.col("p_partkey") % 30 == 7, "1996-01-01").otherwise("1995-01-01")
 
     def version(offset, name, category, valid_from, valid_to, current):
@@ -154,13 +154,20 @@ def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     first = version(
         0, F.col("p_name"), F.col("p_brand"), start,
-        F.when(reissued, "1998-05-31").otherwise(schemas.OPEN_END), ~reissued,
+        F.when(reissued, "1998-05-31").otherwise(schemas.OPEN_END), ~(reissued | revised),
     )
     second = version(
         1, F.concat("p_name", F.lit(" (new)")), F.col("p_type"), F.lit(REISSUE_DAY),
         F.lit(schemas.OPEN_END), F.lit(True),
     )
-    both = F.when(reissued, F.array(first, second)).otherwise(F.array(first))
+    overlapping = version(
+        1, F.concat("p_name", F.lit(" (rev)")), F.col("p_type"), F.lit(REVISED_DAY),
+        F.lit(schemas.OPEN_END), F.lit(True),
+    )
+    both = (
+        F.when(reissued, F.array(first, second))
+        .when(revised, F.array(first, overlapping)).otherwise(F.array(first))
+    )
     return (
         table(spark, sf_dir, "part")
         .withColumn("version", F.explode(both))
@@ -264,8 +271,16 @@ def finance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_differences(spark: SparkSession) -> DataFrame:
-    rows = [(f"{YEAR}{month[4:]}", *rest) for month, *rest in reconcile.KNOWN_DIFFERENCES]
-    return reconcile.known_differences(spark, rows)
+    return reconcile.known_differences(spark, known_rows())
+
+
+def known_rows() -> list[tuple[str, ...]]:
+    """The known differences, month and dates in their wording moved to ``YEAR``."""
+    first_year = reconcile.KNOWN_DIFFERENCES[0][0][:4]
+    return [
+        tuple(value.replace(f"{first_year}-", f"{YEAR}-") for value in row)
+        for row in reconcile.KNOWN_DIFFERENCES
+    ]
 
 
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,10 +12,6 @@ CHECKSUM_COLUMNS = ("bill_no", "line_no", "product_code", "qty", "unit_price", "
 NULL_MARK = "\\N"
 
 
-def line_key() -> Column:
-    return F.concat(F.col("bill_no"), F.lit(":"), F.col("line_no").cast("string"))
-
-
 def row_text(columns: Sequence[str]) -> Column:
     """The row as text; a marker keeps a null from merging its neighbours."""
     return F.concat_ws(
@@ -46,10 +42,21 @@ def table_checksum(
     return df.agg(*checksum_metrics(columns, row_hash))
 
 
+def _per_line(rows: DataFrame, **counts: Column) -> DataFrame:
+    """One row per source line: its number of rows, and sums of the given counts.
+
+    Lines are dealt by (bill_no, line_no), as they are after landing, so a second
+    shuffle is not needed.
+    """
+    return rows.groupBy(*schemas.LINE_KEY).agg(
+        F.count("*").alias("copies"), *(count.alias(name) for name, count in counts.items())
+    )
+
+
 def landed_counts(lines: DataFrame) -> DataFrame:
-    return lines.agg(
-        F.count("*").alias("landed_rows"),
-        F.countDistinct(line_key()).alias("distinct_lines"),
+    return _per_line(lines).agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("landed_rows"),
+        F.count("*").alias("distinct_lines"),
     )
 
 
@@ -61,12 +68,15 @@ def fact_integrity(fact: DataFrame) -> DataFrame:
         & F.col("product_key").isNull()
     )
     control = (F.col("line_type") == "VOID") & (F.col("product_code") == "DISC")
-    return fact.agg(
-        F.count("*").alias("fact_rows"),
-        F.countDistinct(line_key()).alias("distinct_source_lines"),
-        (F.count("*") - F.countDistinct(line_key())).alias("duplicate_rows"),
-        F.count_if(unresolved).alias("unresolved_item_lines"),
-        F.count_if(control).alias("void_discount_control_lines"),
+    total = lambda column: F.coalesce(F.sum(column), F.lit(0))
+    return _per_line(
+        fact, unresolved=F.count_if(unresolved), control=F.count_if(control)
+    ).agg(
+        total("copies").alias("fact_rows"),
+        F.count("*").alias("distinct_source_lines"),
+        total(F.col("copies") - 1).alias("duplicate_rows"),
+        total("unresolved").alias("unresolved_item_lines"),
+        total("control").alias("void_discount_control_lines"),
     )
 
 

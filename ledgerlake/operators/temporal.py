@@ -5,15 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlake.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup_join
-
-
-def with_overlap(versions: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Flag versions that begin before an earlier one of the same key has ended."""
-    earlier = (
-        Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    latest_end = F.max(end).over(earlier)
-    return versions.withColumn("overlaps", F.coalesce(F.col(start) <= latest_end, F.lit(False)))
+from ledgerlake.session import materialize
 
 
 def validity_join(
@@ -37,6 +29,31 @@ def validity_join(
     )
 
 
+def newest_segments(
+    versions: DataFrame, key: str, start: str, end: str, tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """Versions cut into intervals that do not overlap: on each day the newest one holds.
+
+    Every first day and every day after a last day begins a segment; the version with
+    the latest start that covers it wins, then the smallest ``tie_break``. Works on the
+    version table alone, so the rows that are joined later need no ranking. A null end
+    never covers a day.
+    """
+    names = versions.columns
+    bounds = versions.select(
+        key, F.explode(F.array(F.col(start), F.date_add(end, 1))).alias("segment_start")
+    ).distinct()
+    following = Window.partitionBy(key).orderBy("segment_start")
+    segments = bounds.withColumn("segment_stop", F.lead("segment_start").over(following))
+    covered = segments.join(versions, key).where(
+        F.col("segment_start").between(F.col(start), F.col(end))
+    )
+    newest = Window.partitionBy(key, "segment_start").orderBy(F.col(start).desc_nulls_last(), *tie_break)
+    won = covered.withColumn("place", F.row_number().over(newest)).where("place = 1")
+    cut = {start: F.col("segment_start"), end: F.date_sub("segment_stop", 1)}
+    return won.select(*(cut.get(name, F.col(name)).alias(name) for name in names))
+
+
 def newest_version_join(
     rows: DataFrame,
     versions: DataFrame,
@@ -44,23 +61,12 @@ def newest_version_join(
     on: str,
     start: str,
     end: str,
-    row_key: Sequence[str],
     tie_break: Sequence[str] = (),
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``validity_join`` that keeps the newest matching version of each row.
-
-    Versions without overlap cannot multiply a row, so the ranking over all rows
-    is only paid when the (much smaller) version table does overlap.
-    """
-    seen = with_overlap(versions.select(key, start, end), key, start, end).agg(
-        F.count("*").alias("versions"), F.count_if("overlaps").alias("overlaps")
-    ).first()
-    joined = validity_join(
-        rows, versions, key, on, start, end, max_broadcast_rows, hot_rows, seen["versions"]
+    """``validity_join`` that gives each row the newest matching version only."""
+    segments = materialize(newest_segments(versions, key, start, end, tie_break), "versions")
+    return validity_join(
+        rows, segments, key, on, start, end, max_broadcast_rows, hot_rows, segments.count()
     )
-    if seen["overlaps"] == 0:
-        return joined
-    newest = Window.partitionBy(*row_key).orderBy(F.col(start).desc_nulls_last(), *tie_break)
-    return joined.withColumn("rank", F.row_number().over(newest)).where("rank = 1").drop("rank")

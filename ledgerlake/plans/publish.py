@@ -18,7 +18,9 @@ def publish_log(spark: SparkSession, root: str) -> DataFrame:
     """One row per published run: run number, version, row count and checksum."""
     try:
         return spark.read.schema(schemas.PUBLISH_LOG).parquet(f"{root}/log")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schemas.PUBLISH_LOG)
 
 
@@ -58,5 +60,8 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_result_csv(result: DataFrame, path: str) -> None:
-    """A small result table as one CSV file with a header."""
-    result.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A small result table as one CSV file with a header.
+
+    A shuffle of its own keeps the work above it on all tasks.
+    """
+    result.repartition(1).write.mode("overwrite").option("header", True).csv(path)

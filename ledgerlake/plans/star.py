@@ -79,7 +79,7 @@ def resolve_products(lines: DataFrame, products: DataFrame) -> DataFrame:
     )
     return newest_version_join(
         lines, versions, "product_code", "business_date", "valid_from", "valid_to",
-        schemas.LINE_KEY, tie_break=["product_key"],
+        tie_break=["product_key"],
     )
 
 

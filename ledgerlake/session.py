@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or "cluster" in context.master:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlake-"))
     return context.getCheckpointDir()
@@ -45,16 +45,6 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ledgerlake/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a small input, written as one chunk, to all cores.
-
-    An input that already comes in at least as many pieces as there are cores is
-    left alone, so large data pays no extra shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

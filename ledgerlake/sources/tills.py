@@ -30,15 +30,17 @@ SEMICOLON = Dialect(
 )
 EPOCH = Dialect("S1[0-2]", schemas.TILL_EPOCH, ",", _PLAIN)
 DIALECTS = (COMMA, SEMICOLON, EPOCH)
+# Fixed value: store and business date in a file's name.
+FILE_NAME = r"SALES_([^_]+)_([0-9]{8})"
 
 
 def store_of(file: Column) -> Column:
-    return F.regexp_extract(file, r"SALES_([^_]+)_([0-9]{8})", 1)
+    return F.regexp_extract(file, FILE_NAME, 1)
 
 
 def business_date_of(file: Column) -> Column:
     """The date in the file name; timestamps inside may run past midnight."""
-    return F.to_date(F.regexp_extract(file, r"SALES_[^_]+_([0-9]{8})", 1), "yyyyMMdd")
+    return F.to_date(F.regexp_extract(file, FILE_NAME, 2), "yyyyMMdd")
 
 
 def conform(rows: DataFrame, dialect: Dialect, file: Column) -> DataFrame:
@@ -59,7 +61,7 @@ def conform(rows: DataFrame, dialect: Dialect, file: Column) -> DataFrame:
 
 
 def read_dialect(spark: SparkSession, pattern: str, dialect: Dialect) -> DataFrame:
-    """Read the files of one dialect; a malformed row fails the load.
+    """Read the files of one dialect; a malformed row or another header fails the load.
 
     The base name, not the full path, orders files: an original sorts before its
     re-sends because '.' precedes '_'.
@@ -69,6 +71,7 @@ def read_dialect(spark: SparkSession, pattern: str, dialect: Dialect) -> DataFra
         .option("header", True)
         .option("sep", dialect.separator)
         .option("mode", "FAILFAST")
+        .option("enforceSchema", False)
         .csv(pattern)
     )
     file = F.regexp_extract(F.col("_metadata.file_path"), r"(SALES_[^/]+)", 1)
