@@ -9,7 +9,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlake import schemas
-from ledgerlake.functions.text import shingles, tokens
+from ledgerlake.functions.text import notice_tokens as normalized, shingles
 from ledgerlake.operators.landing import land
 from ledgerlake.operators.lsh import band_rows
 from ledgerlake.operators.minhash import LaneFamily, signature
@@ -283,20 +283,56 @@ def known_rows() -> list[tuple[str, ...]]:
     ]
 
 
+TITLE_CHARS = 120
+RULE = "-" * 12
+
+
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as notices: a fifth each framed, closed by a clause, plain, a form letter
+    that only differs in its amount, date and number, and framed again without reference.
+
+    The frames hold what real notices do: markers, amounts, dates, references,
+    boilerplate and a disclaimer, so that every rule of the normalization meets text.
+    """
+    kind = F.col("doc_id") % 5
+    number, chars = F.col("doc_id").cast("string"), F.col("n_chars").cast("string")
+    day = (F.lit(1) + F.col("doc_id") % 28).cast("string")
+    framed = F.concat(
+        F.lit("Tender reference number: NPAS/2024/"), number,
+        F.lit("\nNational Procurement Aggregation Service bulletin "), "source",
+        F.lit(" name of work: "), "text", F.lit("\nEstimated value Rs. "), chars,
+        F.lit(",000.50 lakh, due "), day, F.lit("-mar-2024.\n" + RULE + "\nDisclaimer: no offer."),
+    )
+    clause = F.concat(
+        "text", F.lit("\nScope of work: INR 12,000 cr by 2023/1/9 under ref MC-"), number,
+        F.lit(" and file 20240"), number, F.lit("."),
+    )
+    form = F.concat(
+        F.lit("Preface.\nName of work: supply of goods and services to "), "lang",
+        F.lit(" offices as listed in the annex of the call, in equal lots, by open bid, for Rupees "),
+        chars, F.lit(" crore until "), day, F.lit("/apr/2024 under tn-"), number,
+        F.lit(". State Procurement Cell form of the year, tender to be sent by post or by hand"),
+    )
+    again = F.concat(
+        F.lit("State Procurement Cell sheet "), number, F.lit(". Scope of work for "), "source",
+        F.lit("\n"), "text", F.lit("\n" + RULE + "\nDisclaimer: as given."),
+    )
+    body = (
+        F.when(kind == 1, framed).when(kind == 2, clause).when(kind == 0, form)
+        .when(kind == 4, again).otherwise(F.col("text"))
+    )
+    heading = F.substring(F.substring_index("text", "\n", 1), 1, TITLE_CHARS)
+    title = F.when(kind == 0, F.concat(F.lit("Supply notice "), "lang")).otherwise(heading)
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("notice_id"),
-        F.col("source").alias("portal_id"),
-        F.substring_index("text", "\n", 1).alias("title"),
-        F.col("text").alias("body"),
-        "lang",
-        "n_chars",
+        F.col("doc_id").alias("notice_id"), F.col("source").alias("portal_id"),
+        title.alias("title"), body.alias("body"), "lang", "n_chars",
     )
 
 
 def notice_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalized tokens of each notice, as retrieval and evaluation use them."""
     return notices(spark, sf_dir).select(
-        "notice_id", "portal_id", tokens(F.col("body")).alias("tokens")
+        "notice_id", "portal_id", normalized(F.col("title"), F.col("body")).alias("tokens")
     )
 
 
@@ -356,12 +392,5 @@ def signatures(rows: DataFrame, family: LaneFamily) -> DataFrame:
     return materialize(signed, "signatures")
 
 
-def benchmark_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items as probe notices, numbered below zero to stay apart."""
-    return table(spark, sf_dir, "benchmark").select(
-        (-1 - F.col("item_id")).alias("notice_id"), tokens(F.col("text")).alias("tokens")
-    )
-
-
 def bands(stored_signatures: DataFrame, rows: int, count: int) -> DataFrame:
     return materialize(band_rows(stored_signatures, rows, count), "bands")

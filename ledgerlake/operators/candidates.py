@@ -1,172 +1,109 @@
 """Candidate load per notice and portal, before and after bucket suppression.
 
-Before suppression a bucket may hold a third of all notices, and its pairs cannot
-be listed. They need not be: notices that sit in the same set of oversized
-buckets are candidates of the same notices there. Such a *class* stands for all
-its members, so the exact counts come from class weights, and only pairs from
-buckets within the cap are ever rows.
+Before suppression a bucket may hold a third of all notices, and its pairs are never
+listed. The load there is the comparison work: each other notice of each bucket a
+notice is in, counted from bucket sizes. After suppression pairs are few enough to be
+listed, so the distinct candidates are counted as well.
 """
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.operators.lsh import BUCKET_CAP, pairs_within, sized_rows
 from ledgerlake.operators.percentiles import percentiles
-from ledgerlake.operators.skew import HOT_ROWS, lookup_join
+from ledgerlake.operators.skew import HOT_ROWS
 from ledgerlake.session import materialize
 
 HOTTEST = 10
+STAGES = ("before", "after")
 
 
-@dataclass(frozen=True)
-class OversizedClasses:
-    """Notices by the set of oversized buckets they sit in."""
-
-    members: DataFrame  # notice_id, class_id
-    neighbours: DataFrame  # class_a, class_b: share an oversized bucket (also with itself)
-    reach: DataFrame  # class_id, reach: notices sharing an oversized bucket, itself included
-
-
-def oversized_classes(
-    sized: DataFrame, cap: int = BUCKET_CAP, hot_rows: int = HOT_ROWS
-) -> OversizedClasses:
-    """Classes of the notices in buckets above ``cap``. ``sized`` must be stored.
-
-    Copies always share a class. The work follows the pairs of distinct classes
-    that share a bucket, and is spread over tasks where one bucket has very many.
-    """
-    bucket = F.concat_ws(":", F.col("band_no").cast("string"), F.hex("band_hash"))
-    # A notice has one row per band, so its list is no longer than the band count.
-    sets = (
-        sized.where(F.col("bucket_size") > cap)
-        .groupBy("notice_id")
-        .agg(F.sort_array(F.collect_list(bucket)).alias("buckets"))
-        .withColumn("class_id", F.md5(F.concat_ws(",", "buckets")))
-    )
-    members = materialize(sets, "oversized-members")
-    classes = members.groupBy("class_id").agg(
-        F.any_value("buckets").alias("buckets"), F.count("*").alias("weight")
-    )
-    sides = classes.select("class_id", F.explode("buckets").alias("bucket"))
-    sharing = lookup_join(
-        sides.select(F.col("class_id").alias("class_a"), "bucket"),
-        sides.select(F.col("class_id").alias("class_b"), "bucket"),
-        ["bucket"], "inner", hot_rows=hot_rows,
-    )
-    neighbours = materialize(
-        sharing.select("class_a", "class_b").distinct(), "oversized-neighbours"
-    )
-    weights = classes.select(F.col("class_id").alias("class_b"), "weight")
-    reach = materialize(
-        neighbours.join(weights, "class_b")
-        .groupBy(F.col("class_a").alias("class_id"))
-        .agg(F.sum("weight").alias("reach")),
-        "oversized-reach",
-    )
-    return OversizedClasses(members.select("notice_id", "class_id"), neighbours, reach)
-
-
-def _sides(pairs: DataFrame) -> DataFrame:
-    """Both ends of each pair, from one read of the pairs."""
-    return pairs.select(F.explode(F.array("notice_id_a", "notice_id_b")).alias("notice_id"))
-
-
-def counts_from_pairs(pairs: DataFrame) -> DataFrame:
-    return _sides(pairs).groupBy("notice_id").agg(F.count("*").alias("candidate_count"))
-
-
-def counts_before(
-    pairs: DataFrame, classes: OversizedClasses, hot_rows: int = HOT_ROWS
+def candidate_load(
+    notices: DataFrame, bands: DataFrame, cap: int = BUCKET_CAP, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Distinct candidates per notice with every bucket in use.
+    """Stored load: one row per stage and notice of ``notices(notice_id, portal_id)``.
 
-    A pair from a small bucket that also shares an oversized one is already in its
-    classes' reach and is taken out of the pair count.
+    ``candidate_work`` counts a candidate once per shared bucket; ``candidate_count``
+    counts distinct candidates, and is null before suppression. ``bands`` is read
+    twice: pass a stored table.
     """
-    ids = classes.members
-    in_class = pairs.join(
-        ids.select(F.col("notice_id").alias("notice_id_a"), F.col("class_id").alias("class_a")),
-        "notice_id_a", "left",
-    ).join(
-        ids.select(F.col("notice_id").alias("notice_id_b"), F.col("class_id").alias("class_b")),
-        "notice_id_b", "left",
-    )
-    uncovered = lookup_join(
-        in_class, classes.neighbours, ["class_a", "class_b"], "left_anti", hot_rows=hot_rows
+    sized = materialize(sized_rows(bands, hot_rows).where("bucket_size > 1"), "sized-bands")
+    others = F.col("bucket_size") - 1
+    work = sized.groupBy("notice_id").agg(
+        F.sum(others).alias("before"),
+        F.sum(F.when(F.col("bucket_size") <= cap, others).otherwise(0)).alias("after"),
     )
-    reached = lookup_join(ids, classes.reach, ["class_id"], "inner", hot_rows=hot_rows)
-    parts = reached.select("notice_id", (F.col("reach") - 1).alias("candidate_count")).unionByName(
-        counts_from_pairs(uncovered)
+    counts = counts_from_pairs(pairs_within(sized, cap))
+    each = (
+        notices.select("notice_id", "portal_id")
+        .join(work, "notice_id", "left").join(counts, "notice_id", "left")
     )
-    return parts.groupBy("notice_id").agg(F.sum("candidate_count").alias("candidate_count"))
-
-
-@dataclass(frozen=True)
-class CandidateGraph:
-    """Candidate counts of both stages, and the listable pairs."""
-
-    pairs: DataFrame  # after suppression
-    classes: OversizedClasses
-    before: DataFrame  # notice_id, candidate_count
-    after: DataFrame
-
-
-def candidate_graph(
-    bands: DataFrame, cap: int = BUCKET_CAP, hot_rows: int = HOT_ROWS
-) -> CandidateGraph:
-    """Both stages of the candidate graph from a stored band table."""
-    sized = materialize(
-        sized_rows(bands, hot_rows).where("bucket_size > 1"), "sized-bands"
+    zero = F.lit(0).cast("bigint")
+    stages = F.array(
+        F.struct(
+            F.lit("before").alias("stage"), F.coalesce("before", zero).alias("candidate_work"),
+            F.lit(None).cast("bigint").alias("candidate_count"),
+        ),
+        F.struct(
+            F.lit("after").alias("stage"), F.coalesce("after", zero).alias("candidate_work"),
+            F.coalesce("candidate_count", zero).alias("candidate_count"),
+        ),
     )
-    pairs = materialize(pairs_within(sized, cap), "candidate-pairs")
-    classes = oversized_classes(sized, cap, hot_rows)
-    return CandidateGraph(
-        pairs, classes, counts_before(pairs, classes, hot_rows), counts_from_pairs(pairs)
+    return materialize(
+        each.select("notice_id", "portal_id", F.explode(stages).alias("of"))
+        .select("of.stage", "notice_id", "portal_id", "of.candidate_work", "of.candidate_count"),
+        "candidate-load",
     )
 
 
-def with_counts(notices: DataFrame, counts: DataFrame) -> DataFrame:
-    """Every notice with its candidate count, 0 if it has none."""
-    return notices.join(counts, "notice_id", "left").withColumn(
-        "candidate_count", F.coalesce("candidate_count", F.lit(0))
-    )
+def counts_from_pairs(pairs: DataFrame) -> DataFrame:
+    """Distinct candidates per notice; both ends come from one read of the pairs."""
+    sides = pairs.select(F.explode(F.array("notice_id_a", "notice_id_b")).alias("notice_id"))
+    return sides.groupBy("notice_id").agg(F.count("*").alias("candidate_count"))
 
 
-def candidate_stats(notices: DataFrame, counts: DataFrame) -> DataFrame:
-    """Pairs and per-notice load; both percentile definitions are in use."""
-    load = materialize(with_counts(notices, counts), "candidate-load")
-    ranks = percentiles(load, "candidate_count")
-    return load.agg(
+def candidate_stats(load: DataFrame) -> DataFrame:
+    """Per stage: work and candidates per notice; both percentile definitions are in use."""
+    totals = load.groupBy("stage").agg(
+        (F.sum("candidate_work") / 2).cast("bigint").alias("bucket_pair_hits"),
+        F.avg("candidate_work").alias("average_work"),
+        F.max("candidate_work").alias("max_work"),
         (F.sum("candidate_count") / 2).cast("bigint").alias("candidate_pairs"),
         F.avg("candidate_count").alias("average_candidates"),
         F.max("candidate_count").alias("max_candidates"),
-    ).select(
-        "*",
-        ranks.select("interpolated").scalar().alias("p95_candidates"),
-        ranks.select("nearest_rank").scalar().alias("p95_nearest_rank"),
     )
+    work = percentiles(load, "candidate_work", ["stage"]).select(
+        "stage", F.col("nearest_rank").alias("p95_work")
+    )
+    counts = percentiles(load, "candidate_count", ["stage"]).select(
+        "stage", F.col("interpolated").alias("p95_candidates"),
+        F.col("nearest_rank").alias("p95_nearest_rank"),
+    )
+    return totals.join(work, "stage").join(counts, "stage", "left")
 
 
-def portal_load(notices: DataFrame, counts: DataFrame) -> DataFrame:
-    """Candidate load per portal, with the portal's share of all assignments."""
-    per_portal = with_counts(notices, counts).groupBy("portal_id").agg(
+def portal_load(load: DataFrame) -> DataFrame:
+    """Per stage and portal: work, its share of the stage's work, and candidates."""
+    per_portal = load.groupBy("stage", "portal_id").agg(
         F.count("*").alias("notices"),
+        F.sum("candidate_work").alias("work_assignments"),
+        F.round(F.avg("candidate_work"), 2).alias("avg_work"),
+        F.max("candidate_work").alias("max_work"),
         F.sum("candidate_count").alias("candidate_assignments"),
-        F.round(F.avg("candidate_count"), 2).alias("avg_candidates"),
-        F.max("candidate_count").alias("max_candidates"),
     )
-    total = per_portal.agg(F.sum("candidate_assignments")).scalar()
-    return per_portal.withColumn("share", F.col("candidate_assignments") / total)
+    totals = load.groupBy("stage").agg(F.sum("candidate_work").alias("stage_work"))
+    share = F.try_divide("work_assignments", "stage_work")
+    return per_portal.join(F.broadcast(totals), "stage").withColumn("share", share).drop("stage_work")
 
 
 def heaviest_portal_first(load: DataFrame) -> DataFrame:
-    return load.orderBy(F.desc("candidate_assignments"), "portal_id")
+    return load.orderBy(F.desc("work_assignments"), "portal_id")
 
 
-def hottest_notices(notices: DataFrame, counts: DataFrame, top: int = HOTTEST) -> DataFrame:
-    """The notices with most candidates; one without any never shows."""
-    # The ten ids are settled before the notice table is touched.
-    hottest = counts.orderBy(F.desc("candidate_count"), "notice_id").limit(top)
-    named = notices.select("notice_id", "portal_id").join(F.broadcast(hottest), "notice_id")
-    return named.orderBy(F.desc("candidate_count"), "notice_id")
+def hottest_notices(load: DataFrame, top: int = HOTTEST) -> DataFrame:
+    """Per stage the notices with most work; one without any never shows."""
+    busy = load.where("candidate_work > 0")
+    parts = [
+        busy.where(F.col("stage") == stage).orderBy(F.desc("candidate_work"), "notice_id").limit(top)
+        for stage in STAGES
+    ]
+    return parts[0].unionByName(parts[1])

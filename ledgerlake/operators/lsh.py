@@ -53,11 +53,43 @@ def suppress_oversized(
     return sized_rows(bands, hot_rows).where(F.col("bucket_size") <= cap).drop("bucket_size")
 
 
-def pairs_within(sized: DataFrame, cap: int = BUCKET_CAP) -> DataFrame:
+def content_classes(signatures: DataFrame) -> DataFrame:
+    """(notice_id, class_id): notices with equal signatures, copies above all, are a class.
+
+    The class is named by a hash of the signature, so nothing is gathered or joined.
+    """
+    signed = signatures.where(F.col("signature").isNotNull())
+    return signed.select("notice_id", signature_class().alias("class_id"))
+
+
+def signature_class() -> Column:
+    return F.md5(F.concat_ws("-", F.col("signature").cast("array<string>")))
+
+
+def candidate_buckets(
+    signatures: DataFrame, rows: int, bands: int, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """All candidates in factorized form: (band_no, band_hash, class_id, bucket_classes).
+
+    Two notices are candidates if they share a class (:func:`content_classes`) or
+    their classes share a bucket listed here. Nothing is suppressed, and the table
+    grows with the classes: a bucket of n classes is n rows, not n squared pairs.
+    """
+    classes = (
+        signatures.where(F.col("signature").isNotNull())
+        .groupBy(signature_class().alias("notice_id"))
+        .agg(F.any_value("signature").alias("signature"))
+    )
+    class_bands = materialize(band_rows(classes, rows, bands), "class-bands")
+    shared = with_group_size(class_bands, BUCKET, "bucket_classes", hot_rows)
+    return shared.where("bucket_classes > 1").withColumnRenamed("notice_id", "class_id")
+
+
+def pairs_within(sized: DataFrame, cap: int) -> DataFrame:
     """Distinct pairs that share a bucket of at most ``cap`` notices, a < b.
 
-    The cap bounds both the list per bucket and the pairs made from it. Pairs
-    beyond it are described exactly by ``candidates.oversized_classes``.
+    The cap bounds both the list per bucket and the pairs made from it: this is what
+    is left after suppression. :func:`candidate_buckets` has all candidates.
     """
     buckets = (
         sized.where(F.col("bucket_size").between(2, cap))
@@ -71,10 +103,8 @@ def pairs_within(sized: DataFrame, cap: int = BUCKET_CAP) -> DataFrame:
     ).distinct()
 
 
-def candidate_pairs(
-    bands: DataFrame, cap: int = BUCKET_CAP, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Candidate pairs after oversized buckets are suppressed."""
+def suppressed_pairs(bands: DataFrame, cap: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Candidate pairs that are left after buckets above ``cap`` are suppressed."""
     return pairs_within(sized_rows(bands, hot_rows), cap)
 
 

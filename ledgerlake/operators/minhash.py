@@ -51,6 +51,13 @@ def wide_family(size: int | None = None, seed: int = 20240917) -> LaneFamily:
     )
 
 
+def portable_wide_family(size: int | None = None) -> LaneFamily:
+    """The lanes of :func:`wide_family` over 64 bits of md5, which any engine can compute."""
+    wide = wide_family(size)
+    base = lambda shingle: F.conv(F.substring(F.md5(shingle), 1, 16), 16, -10).cast("bigint")
+    return LaneFamily(base, wide.multipliers, wide.offsets)
+
+
 def _digest28(text: str) -> int:
     return int(hashlib.md5(text.encode()).hexdigest()[:7], 16)
 
@@ -118,6 +125,6 @@ def signature(shingle_set: Column, family: LaneFamily) -> Column:
 
 
 def estimated_jaccard(left: Column, right: Column, size: int) -> Column:
-    """Share of lanes on which two signatures agree."""
+    """Share of lanes on which two signatures agree; null if either is missing."""
     agree = F.filter(F.zip_with(left, right, lambda a, b: a == b), lambda same: same)
-    return F.size(agree) / F.lit(size)
+    return F.when(agree.isNotNull(), F.size(agree) / F.lit(size))

@@ -9,21 +9,21 @@ from ledgerlake.functions import text
 from ledgerlake.operators import candidates, evaluate, lsh, quality
 from ledgerlake.operators.landing import land
 from ledgerlake.operators.minhash import (
-    estimated_jaccard, portable_family, signature_size, wide_family,
+    estimated_jaccard, portable_family, portable_wide_family, signature_size,
 )
-from ledgerlake.operators.minhash import signature as minhash_signature_of
 from ledgerlake.plans import publish, reconcile, reports, star
 from ledgerlake.session import materialize, shared_path
 from ledgerlake.sources import lake, tills
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Small enough for a SQL engine to recompute; production uses wide_family().
-LANES = 36
-BAND_ROWS, BANDS = 3, 12
-SWEEP = ((3, 12), (6, 6), (9, 4), (18, 2))
-# The given documents are few; a cap of 100 would suppress nothing.
-CAP = 5
+# The published operating point.
+LANES = signature_size()
+BAND_ROWS, BANDS = lsh.OPERATING_ROWS, LANES // lsh.OPERATING_ROWS
+SWEEP = lsh.SWEEP
+CAP = lsh.BUCKET_CAP
+# Notices that probe the stored bands: the given share of all ids.
+PROBE_EVERY = 20
 MARKERS = (" the ", " und ", " les ")
 
 _LINE = ("store_id", "business_date", "bill_no", "line_no", "product_code", "qty",
@@ -286,26 +286,39 @@ def minhash_md5_signature(spark, sf_dir):
     )
 
 
+def _wide_signatures(spark, sf_dir):
+    return data.signatures(data.notice_tokens(spark, sf_dir), portable_wide_family())
+
+
 def minhash_signature(spark, sf_dir):
-    """Production signatures: 738 lanes over the normalized notice."""
-    rows = data.notices(spark, sf_dir).select(
-        "notice_id", text.notice_tokens(F.col("title"), F.col("body")).alias("tokens")
-    )
-    return rows.select(
+    """Signatures of wrapping 64-bit lanes; a notice too short for one shows as null."""
+    return _wide_signatures(spark, sf_dir).select(
         "notice_id",
-        minhash_signature_of(text.shingles(F.col("tokens"), 3), wide_family()).alias("signature"),
+        F.when(
+            F.col("signature").isNotNull(),
+            F.concat_ws("-", F.col("signature").cast("array<string>")),
+        ).alias("signature"),
     )
 
 
 def near_duplicate_candidates(spark, sf_dir):
-    """Candidate pairs at the operating point: 738 lanes, 82 bands of 9, cap 100."""
-    stored = materialize(minhash_signature(spark, sf_dir), "signatures")
-    rows = lsh.OPERATING_ROWS
-    return lsh.candidate_pairs(data.bands(stored, rows, signature_size() // rows))
+    """Candidate pairs at the operating point, oversized buckets suppressed."""
+    bands = data.bands(_wide_signatures(spark, sf_dir), BAND_ROWS, BANDS)
+    return lsh.suppressed_pairs(bands, CAP)
+
+
+def candidate_members(spark, sf_dir):
+    """The content class of each notice: with the buckets, all candidates unsuppressed."""
+    return lsh.content_classes(_signatures(spark, sf_dir))
+
+
+def candidate_buckets(spark, sf_dir):
+    """Every bucket of two classes or more, one row per class in it."""
+    return _as_text(lsh.candidate_buckets(_signatures(spark, sf_dir), BAND_ROWS, BANDS))
 
 
 def _estimates(spark, sf_dir, pairs):
-    signed = _signatures(spark, sf_dir).where("signature is not null")
+    signed = _signatures(spark, sf_dir)
     both = evaluate.attach_both(pairs, signed, "signature", 1_000)
     return both.select(
         *evaluate.PAIR,
@@ -353,15 +366,14 @@ def bucket_cap(spark, sf_dir):
 
 
 def lsh_candidates(spark, sf_dir):
-    return lsh.candidate_pairs(_bands(spark, sf_dir), CAP)
+    """Pairs after suppression; ``candidate_buckets`` has what is suppressed as well."""
+    return lsh.suppressed_pairs(_bands(spark, sf_dir), CAP)
 
 
 def probe_candidates(spark, sf_dir):
-    """All candidates among the notices of every benchmark item."""
-    items = data.signatures(data.benchmark_tokens(spark, sf_dir), portable_family(LANES))
-    return lsh.probe_candidates(
-        data.bands(items, BAND_ROWS, BANDS), _bands(spark, sf_dir)
-    )
+    """All candidates of every notice whose id is divisible by ``PROBE_EVERY``."""
+    bands = _bands(spark, sf_dir)
+    return lsh.probe_candidates(bands.where(F.col("notice_id") % PROBE_EVERY == 0), bands)
 
 
 def bucket_work_sweep(spark, sf_dir):
@@ -371,39 +383,30 @@ def bucket_work_sweep(spark, sf_dir):
     )
 
 
-def _graph(spark, sf_dir):
-    return candidates.candidate_graph(_bands(spark, sf_dir), CAP)
+def _load(spark, sf_dir, bands=None):
+    bands = _bands(spark, sf_dir) if bands is None else bands
+    return candidates.candidate_load(data.notices(spark, sf_dir), bands, CAP)
 
 
-def _stages(notices, graph, report):
-    before, after = (
-        report(notices, counts).withColumn("stage", F.lit(stage))
-        for stage, counts in (("before", graph.before), ("after", graph.after))
-    )
-    return before.unionByName(after)
+def _rounded_stats(stats):
+    return stats.withColumns(_round("average_work", "average_candidates", "p95_candidates"))
 
 
 def candidate_stats(spark, sf_dir):
-    notices = data.notices(spark, sf_dir).select("notice_id", "portal_id")
-    stats = _stages(notices, _graph(spark, sf_dir), candidates.candidate_stats)
-    return stats.withColumns(_round("average_candidates", "p95_candidates"))
+    return _rounded_stats(candidates.candidate_stats(_load(spark, sf_dir)))
 
 
 def candidate_counts(spark, sf_dir):
-    """Candidates of every notice, with all buckets and after suppression."""
-    notices = data.notices(spark, sf_dir).select("notice_id", "portal_id")
-    return _stages(notices, _graph(spark, sf_dir), candidates.with_counts)
+    """Load of every notice, with all buckets and after suppression."""
+    return _load(spark, sf_dir)
 
 
 def source_candidate_load(spark, sf_dir):
-    notices = data.notices(spark, sf_dir).select("notice_id", "portal_id")
-    load = _stages(notices, _graph(spark, sf_dir), candidates.portal_load)
-    return load.withColumns(_round("share"))
+    return candidates.portal_load(_load(spark, sf_dir)).withColumns(_round("share"))
 
 
 def hottest_documents(spark, sf_dir):
-    notices = data.notices(spark, sf_dir).select("notice_id", "portal_id")
-    return _stages(notices, _graph(spark, sf_dir), candidates.hottest_notices)
+    return candidates.hottest_notices(_load(spark, sf_dir))
 
 
 def _survived(pairs, signed, bands):
@@ -411,18 +414,11 @@ def _survived(pairs, signed, bands):
 
 
 def mitigation_compare(spark, sf_dir):
-    notices = data.notices(spark, sf_dir).select("notice_id", "portal_id")
     signed = _signatures(spark, sf_dir)
     bands = data.bands(signed, BAND_ROWS, BANDS)
-    graph = candidates.candidate_graph(bands, CAP)
-    report = evaluate.mitigation_report(
-        candidates.candidate_stats(notices, graph.before),
-        candidates.candidate_stats(notices, graph.after),
-        materialize(
-            _survived(data.labelled_pairs(spark, sf_dir), signed, bands), "survived"
-        ),
-    )
-    return report.withColumns(_round("average_candidates", "p95_candidates"))
+    stats = candidates.candidate_stats(_load(spark, sf_dir, bands))
+    survived = _survived(data.labelled_pairs(spark, sf_dir), signed, bands)
+    return _rounded_stats(evaluate.mitigation_report(stats, survived))
 
 
 def labelled_survival(spark, sf_dir):
@@ -456,6 +452,7 @@ QUERIES: dict[str, Query] = {
         federated_category_revenue, finance_reconciliation, normalized_tokens,
         marker_slice_tokens, shingle_sets, avg_shingles, pair_jaccard, conservative_threshold,
         example_pairs, minhash_md5_signature, minhash_signature, near_duplicate_candidates,
+        candidate_members, candidate_buckets,
         minhash_estimate, pair_errors, estimator_error, lsh_bands, bucket_cap, lsh_candidates,
         probe_candidates, bucket_work_sweep, candidate_stats, candidate_counts,
         source_candidate_load, hottest_documents, mitigation_compare, labelled_survival,

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from datetime import timedelta
 from collections import Counter
 from math import ceil
 
@@ -110,17 +111,32 @@ def test_overlap_guard_keeps_the_newest_version(spark, versions):
     )
     loose = validity_join(sales, nested, "code", "day", "starts", "ends")
     assert loose.count() == 4
-    kept = newest_version_join(sales, nested, "code", "day", "starts", "ends", ["line"])
+    kept = newest_version_join(sales, nested, "code", "day", "starts", "ends", ["sk"])
     assert {r["line"]: r["sk"] for r in kept.collect()} == {1: 4, 2: 3, 3: None}
-
-
-def test_guard_costs_nothing_without_overlap(spark, versions):
-    sales = spark.createDataFrame([(1, "P2", D(2024, 3, 15))], "line int, code string, day date")
-    kept = newest_version_join(sales, versions, "code", "day", "starts", "ends", ["line"])
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "BroadcastHashJoin" in plan and "Exchange hash" not in plan
 
 
+def test_segments_equal_ranking_every_day(spark):
+    chance = random.Random(12)
+    first = D(2024, 1, 1)
+    rows = []
+    for sk in range(40):
+        start = chance.randrange(60)
+        rows.append((f"P{sk % 5}", sk, first + timedelta(start), first + timedelta(start + chance.randrange(25))))
+    rows.append(("P0", 99, rows[0][2], rows[0][3]))  # same interval: the smaller sk wins
+    versions = spark.createDataFrame(rows, "code string, sk int, starts date, ends date")
+    days = [(code, first + timedelta(day)) for code in ("P0", "P1", "P2", "P3", "P4") for day in range(90)]
+    sales = spark.createDataFrame(days, "code string, day date")
+    kept = newest_version_join(sales, versions, "code", "day", "starts", "ends", ["sk"])
+    want = {}
+    for code, day in days:
+        valid = [(-(s - first).days, sk) for c, sk, s, e in rows if c == code and s <= day <= e]
+        want[code, day] = min(valid)[1] if valid else None
+    found = kept.collect()
+    assert len(found) == len(days) and {(r.code, r.day): r.sk for r in found} == want
+
+
 @pytest.mark.parametrize("count", [1, 2, 20, 99, 40_000])
 def test_percentiles_equal_sorting_all_values(spark, count):
     chance = random.Random(count)

@@ -137,6 +137,22 @@ def test_publish_logs_runs_and_failure_keeps_the_old_version(spark, folder, tmp_
     assert spark.read.option("header", True).csv(str(tmp_path / "log.csv")).count() == 3
 
 
+def test_a_file_with_other_column_order_fails(spark, tmp_path):
+    (tmp_path / "SALES_S01_20241014.csv").write_text(
+        "bill_no,line_no,product_code,unit_price,qty,line_type,ts\nS01-1,1,P1,10.00,2.000,SALE,x\n"
+    )
+    with pytest.raises(Exception, match="(?i)header"):
+        tills.read_tills(spark, str(tmp_path)).collect()
+
+
+def test_only_a_missing_log_reads_as_nothing_published(spark, tmp_path):
+    assert publish.publish_log(spark, str(tmp_path / "new")).count() == 0
+    (tmp_path / "odd" / "log").mkdir(parents=True)
+    (tmp_path / "odd" / "log" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        publish.publish_log(spark, str(tmp_path / "odd")).collect()
+
+
 def test_notice_shards_later_row_wins_and_bodies_hold_line_breaks(spark, tmp_path):
     head = "notice_id,portal_id,title,body,published_at,estimated_value\n"
     (tmp_path / "part-000.csv").write_text(

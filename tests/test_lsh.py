@@ -109,32 +109,64 @@ def pairs_of(keys, cap=None):
     }
 
 
+def as_notices(spark, keys):
+    return spark.createDataFrame([(n, f"P{n % 3}") for n in keys], "notice_id long, portal_id string")
+
+
 @pytest.mark.parametrize("hot", [False, True])
 @pytest.mark.parametrize("hot_rows", [10**6, 15])
-def test_counts_equal_listing_every_pair(spark, hot, hot_rows):
+def test_load_equals_listing_every_bucket(spark, hot, hot_rows):
     keys, cap = corpus(7, 150, hot), 6
-    graph = candidates.candidate_graph(band_table(spark, keys), cap, hot_rows)
-    for counts, pairs in ((graph.before, pairs_of(keys)), (graph.after, pairs_of(keys, cap))):
-        want = Counter(n for pair in pairs for n in pair)
-        assert dict(as_set(counts)) == want
-    assert as_set(graph.pairs) == pairs_of(keys, cap)
-    assert pairs_of(keys, cap) <= pairs_of(keys)
-
-
-def test_listed_pairs_follow_the_cap_not_the_hot_bucket(spark):
-    keys = corpus(7, 300, True)
-    graph = candidates.candidate_graph(band_table(spark, keys), 6, 15)
-    assert graph.pairs.count() < 1000 < len(pairs_of(keys))
-    # A third of all notices are one class.
-    sizes = [r["count"] for r in graph.classes.members.groupBy("class_id").count().collect()]
-    assert max(sizes) >= 100
+    load = candidates.candidate_load(as_notices(spark, keys), band_table(spark, keys), cap, hot_rows)
+    for stage, most in (("before", 10**6), ("after", cap)):
+        work = Counter({n: 0 for n in keys})
+        for ids in buckets_of(keys).values():
+            for n in ids if len(ids) <= most else ():
+                work[n] += len(ids) - 1
+        rows = load.where(F.col("stage") == stage)
+        assert dict(as_set(rows, "notice_id", "candidate_work")) == dict(work)
+    want = Counter({n: 0 for n in keys}) + Counter()
+    want.update(n for pair in pairs_of(keys, cap) for n in pair)
+    after = dict(as_set(load.where("stage = 'after'"), "notice_id", "candidate_count"))
+    assert {n: c for n, c in after.items() if c} == dict(want)
+    assert load.where("stage = 'before' AND candidate_count IS NOT NULL").count() == 0
+
+
+def test_candidate_buckets_are_complete_and_linear(spark):
+    """A bucket with a third of all notices, all of different classes, stays one row each."""
+    chance = random.Random(2)
+    signs = {}
+    for n in range(300):
+        own = [chance.randrange(10**9) for _ in range(8)]
+        if n % 3 == 0:
+            own[0:2] = [1, 2]
+        elif n % 3 == 1:
+            own = [5] * 8
+        signs[n] = own
+    signed = spark.createDataFrame(list(signs.items()), "notice_id long, signature array<long>")
+    members = dict(as_set(lsh.content_classes(signed)))
+    buckets = materialize(lsh.candidate_buckets(signed, 2, 4), "test-buckets")
+    assert buckets.count() == 100
+    together = {}
+    for row in buckets.collect():
+        together.setdefault((row.band_no, bytes(row.band_hash)), set()).add(row.class_id)
+    found = {
+        (a, b) for a, b in combinations(range(300), 2)
+        if members[a] == members[b]
+        or any({members[a], members[b]} <= classes for classes in together.values())
+    }
+    want = {
+        (a, b) for a, b in combinations(range(300), 2)
+        if any(signs[a][at:at + 2] == signs[b][at:at + 2] for at in range(0, 8, 2))
+    }
+    assert found == want
 
 
 def test_bucket_of_100_stays_and_of_101_goes(spark):
     keys = {n: ["a" if n < 100 else "b"] for n in range(201)}
     kept = lsh.suppress_oversized(band_table(spark, keys))
     assert as_set(kept, "notice_id") == {(n,) for n in range(100)}
-    pairs = lsh.candidate_pairs(band_table(spark, keys))
+    pairs = lsh.suppressed_pairs(band_table(spark, keys), lsh.BUCKET_CAP)
     assert pairs.count() == 4950 and pairs.where("notice_id_a >= notice_id_b").count() == 0
 
 
@@ -169,28 +201,32 @@ def test_bands_cover_the_signature(spark):
     signed = sign(spark, sets, portable_family(12))
     bands = lsh.band_rows(signed, 3, 4)
     assert bands.count() == 12 and as_set(bands, "band_no") == {(0,), (1,), (2,), (3,)}
-    assert as_set(lsh.candidate_pairs(materialize(bands, "test"))) == {(1, 2)}
+    assert as_set(lsh.suppressed_pairs(materialize(bands, "test"), 100)) == {(1, 2)}
     sweep = lsh.bands_of_configurations(signed, ((3, 4), (6, 2)))
     assert sweep.groupBy("band_rows").count().orderBy("band_rows").collect() == [(3, 12), (6, 6)]
     assert as_set(sweep.where("band_rows = 3"), "notice_id", "band_no", "band_hash") == as_set(bands)
 
 
 def test_load_reports(spark):
-    notices = spark.createDataFrame(
-        [(n, "P1" if n < 15 else "P2") for n in range(20)], "notice_id long, portal_id string")
-    counts = spark.createDataFrame([(n, n) for n in range(1, 20)], "notice_id long, candidate_count long")
-    stats = candidates.candidate_stats(notices, counts).first()
+    rows = [("after", n, "P1" if n < 15 else "P2", n, n) for n in range(20)]
+    rows += [("before", n, "P1", 2 * n, None) for n in range(3)]
+    load = spark.createDataFrame(
+        rows, "stage string, notice_id long, portal_id string, candidate_work long, candidate_count long")
+    stats = {row.stage: row for row in candidates.candidate_stats(load).collect()}
     # Interpolated and nearest rank differ on 0..19.
-    assert round(stats.p95_candidates, 6) == 18.05 and stats.p95_nearest_rank == 18
-    assert stats.candidate_pairs == 95 and stats.average_candidates == 9.5
-    load = candidates.heaviest_portal_first(candidates.portal_load(notices, counts)).collect()
-    assert [(r.portal_id, r.notices, r.candidate_assignments, r.max_candidates) for r in load] == [
+    after = stats["after"]
+    assert round(after.p95_candidates, 6) == 18.05 and after.p95_nearest_rank == after.p95_work == 18
+    assert after.candidate_pairs == after.bucket_pair_hits == 95 and after.average_candidates == 9.5
+    assert stats["before"].bucket_pair_hits == 3 and stats["before"].candidate_pairs is None
+    after_load = candidates.portal_load(load).where("stage = 'after'")
+    by_portal = candidates.heaviest_portal_first(after_load).collect()
+    assert [(r.portal_id, r.notices, r.work_assignments, r.max_work) for r in by_portal] == [
         ("P1", 15, 105, 14), ("P2", 5, 85, 19)]
-    assert abs(sum(r.share for r in load) - 1) < 1e-9
-    tied = counts.unionByName(spark.createDataFrame([(0, 19)], counts.schema))
-    hottest = candidates.hottest_notices(notices, tied).collect()
+    assert abs(sum(r.share for r in by_portal) - 1) < 1e-9
+    tied = load.unionByName(spark.createDataFrame([("after", 0, "P1", 19, 1)], load.schema))
+    hottest = candidates.hottest_notices(tied.where("stage = 'after'")).collect()
     assert [r.notice_id for r in hottest] == [0, 19, 18, 17, 16, 15, 14, 13, 12, 11]
-    assert len(candidates.hottest_notices(notices, counts.limit(3)).collect()) == 3
+    assert len(candidates.hottest_notices(load.where("stage = 'before'")).collect()) == 2
 
 
 def test_saved_index_is_probed_without_moving_the_band_table(spark):

@@ -5,9 +5,14 @@ import os
 import duckdb
 import pytest
 from conftest import as_set
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, rows
+from ledgerlake import datasets
+from ledgerlake.functions import text
+from ledgerlake.oracles import ORACLES
+from ledgerlake.workloads import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 # Every query and its SQL: python check.py <dir>. These keep the suite short.
@@ -30,7 +35,7 @@ def engine():
 
 def test_contract(spark):
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"minhash_signature", "near_duplicate_candidates"}
+    assert set(QUERIES) == set(ORACLES)
     assert entry(spark).limit(1).count() == 1
 
 
@@ -44,7 +49,26 @@ def test_query_equals_its_sql(spark, engine, name):
 
 
 def test_production_signatures_have_738_lanes(spark):
-    from pyspark.sql import functions as F
-
     signed = queries()["minhash_signature"](spark, DATA)
-    assert {n for (n,) in as_set(signed, F.size("signature"))} - {-1} == {738}
+    lanes = signed.select(F.size(F.split("signature", "(?<=[0-9])-")).alias("lanes"))
+    assert as_set(lanes) == {(738,)}
+
+
+def test_every_normalization_rule_meets_text(spark):
+    """Each pattern, marker and phrase occurs in the mapped notices, and leaves its trace."""
+    rows = datasets.notices(spark, DATA)
+    lowered = F.lower("body")
+    hits = rows.agg(
+        *(F.count_if(lowered.rlike(pattern)).alias(name) for name, pattern in
+          (("money", text.MONEY), ("date", text.DATE), ("reference", text.REFERENCE))),
+        *(F.count_if(F.contains(lowered, F.lit(phrase))).alias(f"phrase{at}")
+          for at, phrase in enumerate((*text.BOILERPLATE, *text.CONTENT_MARKERS))),
+        F.count_if(F.col("body").rlike(text.DISCLAIMER)).alias("disclaimer"),
+    ).first().asDict()
+    assert all(count > 10 for count in hits.values()), hits
+    found = text.notice_tokens(F.col("title"), F.col("body"))
+    traces = rows.select(found.alias("t")).agg(
+        *(F.count_if(F.array_contains("t", name)).alias(name) for name in ("money", "date", "reference")),
+        F.count_if(F.array_contains("t", "disclaimer")).alias("uncut"),
+    ).first()
+    assert min(traces.money, traces.date, traces.reference) > 10 and traces.uncut == 0
