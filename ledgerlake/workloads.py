@@ -1,5 +1,6 @@
 """The registered queries: each runs one operator group over the whole given tables."""
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +14,8 @@ from ledgerlake.operators.minhash import (
 )
 from ledgerlake.plans import publish, reconcile, reports, star
 from ledgerlake.session import materialize, shared_path
-from ledgerlake.sources import lake, tills
+from ledgerlake.sources import lake, masters, tills
+from ledgerlake.sources.notices import read_labelled_pairs, read_notices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,10 @@ SWEEP = lsh.SWEEP
 CAP = lsh.BUCKET_CAP
 # Notices that probe the stored bands: the given share of all ids.
 PROBE_EVERY = 20
+# What the pruned queries ask for.
+ONE_PARTITION = ("S01", 1996, 10)
+ONE_PERIOD = (dt.date(1996, 11, 15), dt.date(1997, 2, 1))
+ONE_MONTH = (dt.date(1996, 3, 1), dt.date(1996, 4, 1))
 MARKERS = (" the ", " und ", " les ")
 
 _LINE = ("store_id", "business_date", "bill_no", "line_no", "product_code", "qty",
@@ -188,10 +194,10 @@ def historical_price_report(spark, sf_dir):
 
 
 def federated_category_revenue(spark, sf_dir):
-    masters = data.masters(spark, sf_dir)
+    given = data.masters(spark, sf_dir)
     return reports.federated_revenue(
-        data.landed_lines(spark, sf_dir), masters["stores"], masters["products"],
-        masters["product_categories"],
+        data.landed_lines(spark, sf_dir), given["stores"], given["products"],
+        given["product_categories"],
     )
 
 
@@ -203,6 +209,106 @@ def finance_reconciliation(spark, sf_dir):
     )
 
 
+# Files and pruned scans -------------------------------------------------------
+
+
+def _stored_lake(spark, sf_dir):
+    path = shared_path(spark, "lake")
+    lake.write_lake(data.landed_lines(spark, sf_dir), path)
+    return lake.read_lake(spark, path)
+
+
+def pruned_partition_revenue(spark, sf_dir):
+    """One store and month of a written lake; the partition filters reach the scan."""
+    return reports.daily_revenue(_stored_lake(spark, sf_dir), lake.in_partition(*ONE_PARTITION))
+
+
+def store_period_revenue(spark, sf_dir):
+    """One store and a range of days of a written lake."""
+    wanted = (F.col("store_id") == ONE_PARTITION[0]) & lake.in_period(*ONE_PERIOD)
+    return reports.daily_revenue(_stored_lake(spark, sf_dir), wanted)
+
+
+def federated_lake_revenue(spark, sf_dir):
+    """One partition of a written lake, joined to stored master tables."""
+    folder = shared_path(spark, "masters")
+    for name, rows in data.masters(spark, sf_dir).items():
+        rows.write.parquet(f"{folder}/{name}")
+    stores, products, categories = (
+        masters.read_master(spark, name, path=folder)
+        for name in ("stores", "products", "product_categories")
+    )
+    return reports.federated_revenue(
+        _stored_lake(spark, sf_dir), stores, products, categories,
+        lake.in_partition(*ONE_PARTITION),
+    )
+
+
+def price_function_sql(spark, sf_dir):
+    """The price report of one month, called as a SQL table function."""
+    fact = materialize(data.fact(spark, sf_dir), "fact")
+    reports.register_price_function(fact, data.price_revisions(spark, sf_dir))
+    return spark.sql(
+        f"SELECT * FROM historical_price_report(DATE '{ONE_MONTH[0]}', DATE '{ONE_MONTH[1]}')"
+    )
+
+
+def finance_file(spark, sf_dir):
+    """Finance's months as a result CSV, read back in its declared types."""
+    path = shared_path(spark, "finance")
+    signed = data.finance(spark, sf_dir).select(
+        "month", F.last_day(F.to_date("month", "yyyy-MM")).alias("closed_on"), "revenue_inr",
+        F.lit("finance").alias("signed_off_by"),
+    )
+    publish.write_result_csv(signed, path)
+    return masters.read_finance(spark, path)
+
+
+def label_file(spark, sf_dir):
+    """Labelled pairs as a CSV, read back with the smaller id first."""
+    path = shared_path(spark, "labels")
+    named = lambda side: F.concat(F.lit("N"), F.lpad(F.col(side).cast("string"), 12, "0"))
+    pairs = data.labelled_pairs(spark, sf_dir).select(
+        named("notice_id_b").alias("notice_id_a"), named("notice_id_a").alias("notice_id_b"), "label"
+    )
+    pairs.write.option("header", True).csv(path)
+    return read_labelled_pairs(spark, path)
+
+
+def notice_shards(spark, sf_dir):
+    """Notices in two CSV shards, the second with new titles for some: the later row wins."""
+    folder = shared_path(spark, "shards")
+    rows = data.notices(spark, sf_dir).select(
+        F.col("notice_id").cast("string").alias("notice_id"), "portal_id", "title", "body",
+        F.lit("2024-01-01").alias("published_at"),
+        F.col("n_chars").cast("string").alias("estimated_value"),
+    )
+    revised = rows.where(F.col("notice_id").cast("long") % 10 == 0).withColumn(
+        "title", F.concat(F.lit("Corrected: "), "title")
+    )
+    for number, shard in enumerate((rows, revised)):
+        (
+            shard.write.option("header", True).option("escape", '"').option("quoteAll", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(f"{folder}/{number}")
+        )
+    found = read_notices(spark, [f"{folder}/0", f"{folder}/1"])
+    return found.select(
+        F.col("notice_id").cast("long").alias("notice_id"), "portal_id",
+        F.md5("title").alias("title_md5"), F.md5("body").alias("body_md5"),
+    )
+
+
+def manifest_checksum(spark, sf_dir):
+    """Count and checksum of the unpartitioned snapshot, read back."""
+    path = shared_path(spark, "manifest")
+    lake.write_manifest(data.landed_lines(spark, sf_dir), path)
+    checksum = quality.table_checksum(
+        spark.read.parquet(path), row_hash=quality.portable_row_hash
+    )
+    return checksum.withColumn("checksum", F.col("checksum").cast("string"))
+
+
 # Near-duplicate notices -------------------------------------------------------
 
 
@@ -449,7 +555,9 @@ QUERIES: dict[str, Query] = {
         row_checksum, partition_revenue, daily_store_revenue, dim_date, dim_surrogate_key,
         dim_product, product_validity_join, fact_sales_line, dashboard_revenue, fact_integrity,
         reissued_codes, table_counts, master_checks, historical_price_report,
-        federated_category_revenue, finance_reconciliation, normalized_tokens,
+        federated_category_revenue, finance_reconciliation, pruned_partition_revenue,
+        store_period_revenue, federated_lake_revenue, price_function_sql, finance_file,
+        label_file, notice_shards, manifest_checksum, normalized_tokens,
         marker_slice_tokens, shingle_sets, avg_shingles, pair_jaccard, conservative_threshold,
         example_pairs, minhash_md5_signature, minhash_signature, near_duplicate_candidates,
         candidate_members, candidate_buckets,
