@@ -5,6 +5,7 @@ notices. Their rules are stated once more, as SQL, in ``oracles.py``.
 """
 
 import os
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -237,9 +238,28 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.dim_product(products(spark, sf_dir), dim_category(spark, sf_dir))
 
 
-def fact(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Star:
+    """The star schema; dimensions are stored, the fact is a plan over them."""
+
+    store: DataFrame
+    category: DataFrame
+    product: DataFrame
+    fact: DataFrame
+
+
+def star_schema(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> Star:
+    """Each dimension is built once and stored, so that the joins, and the counts that
+    decide how to join, read a small table."""
     lines = landed_lines(spark, sf_dir) if lines is None else lines
-    return star.fact_sales_line(lines, dim_store(spark, sf_dir), dim_product(spark, sf_dir))
+    store = materialize(dim_store(spark, sf_dir), "dim-store")
+    category = materialize(dim_category(spark, sf_dir), "dim-category")
+    product = materialize(star.dim_product(products(spark, sf_dir), category), "dim-product")
+    return Star(store, category, product, star.fact_sales_line(lines, store, product))
+
+
+def fact(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return star_schema(spark, sf_dir, lines).fact
 
 
 def missing_exports(lines: DataFrame) -> DataFrame:
@@ -250,12 +270,12 @@ def missing_exports(lines: DataFrame) -> DataFrame:
     return lines.where(~lost)
 
 
-def finance(spark: SparkSession, sf_dir: str) -> DataFrame:
+def finance(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Finance's months: one adds an invoice, one rounds each bill, none lacks days."""
+    lines = landed_lines(spark, sf_dir) if lines is None else lines
     net = F.sum(F.col("qty") * F.col("unit_price"))
     bills = (
-        landed_lines(spark, sf_dir)
-        .where(F.col("line_type").isin(*schemas.REVENUE_LINE_TYPES))
+        lines.where(F.col("line_type").isin(*schemas.REVENUE_LINE_TYPES))
         .groupBy(F.date_format("business_date", "yyyy-MM").alias("month"), "bill_no")
         .agg(net.alias("net"))
     )

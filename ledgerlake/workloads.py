@@ -157,9 +157,10 @@ def fact_sales_line(spark, sf_dir):
 
 
 def dashboard_revenue(spark, sf_dir):
+    built = data.star_schema(spark, sf_dir)
     return reports.dashboard_revenue(
-        data.fact(spark, sf_dir), data.dim_store(spark, sf_dir), data.dim_product(spark, sf_dir),
-        data.dim_category(spark, sf_dir), data.dim_date(spark, sf_dir),
+        built.fact, built.store, built.product, built.category,
+        materialize(data.dim_date(spark, sf_dir), "dim-date"),
     )
 
 
@@ -172,9 +173,11 @@ def reissued_codes(spark, sf_dir):
 
 
 def table_counts(spark, sf_dir):
-    tables = (data.dim_date, data.dim_store, data.dim_category, data.dim_product)
-    dims = {build.__name__: build(spark, sf_dir) for build in tables}
-    return quality.table_counts({**dims, "fact_sales_line": data.fact(spark, sf_dir)})
+    built = data.star_schema(spark, sf_dir)
+    return quality.table_counts({
+        "dim_date": data.dim_date(spark, sf_dir), "dim_store": built.store,
+        "dim_category": built.category, "dim_product": built.product, "fact_sales_line": built.fact,
+    })
 
 
 def master_checks(spark, sf_dir):
@@ -183,7 +186,8 @@ def master_checks(spark, sf_dir):
 
 def historical_price_report(spark, sf_dir):
     """Every calendar month of the given years, in one pass."""
-    months = data.dim_date(spark, sf_dir).where(F.dayofmonth("calendar_date") == 1)
+    days = materialize(data.dim_date(spark, sf_dir), "dim-date")
+    months = days.where(F.dayofmonth("calendar_date") == 1)
     periods = months.select(
         F.col("calendar_date").alias("period_start"),
         F.add_months("calendar_date", 1).alias("period_stop"),
@@ -202,10 +206,10 @@ def federated_category_revenue(spark, sf_dir):
 
 
 def finance_reconciliation(spark, sf_dir):
-    lines = data.missing_exports(data.landed_lines(spark, sf_dir))
-    pipeline = reconcile.monthly_revenue(data.fact(spark, sf_dir, lines))
+    lines = materialize(data.landed_lines(spark, sf_dir), "landed")
+    pipeline = reconcile.monthly_revenue(data.fact(spark, sf_dir, data.missing_exports(lines)))
     return reconcile.reconcile(
-        pipeline, data.finance(spark, sf_dir), data.known_differences(spark)
+        pipeline, data.finance(spark, sf_dir, lines), data.known_differences(spark)
     )
 
 
