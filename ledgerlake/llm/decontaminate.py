@@ -1,7 +1,6 @@
 """Benchmark decontamination with spaced seeds that tolerate substituted tokens."""
 
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -71,23 +70,24 @@ def _item_seeds(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
     )
 
 
-def _equal_tokens() -> tuple[Column, Column]:
-    """Most equal tokens in a window of 13 around the hit, and the bits it is read from.
+def _equal_tokens() -> Column:
+    """Most equal tokens in a window of 13 around the hit.
 
     All aligned positions that such a window can reach are compared once into bits. A
-    position outside the item or the document is unequal.
+    position outside the item or the document is unequal. Written with array functions:
+    they are called per hit, and the generated code of the many probes stays short.
     """
-    reach = range(-BEFORE, WINDOW)
-    bits = reduce(add, (
-        F.when(
-            F.get("tokens", F.col("at") + shift) == F.get("around", F.lit(place)), F.lit(1 << place)
-        ).otherwise(F.lit(0))
-        for place, shift in enumerate(reach)
-    ))
+    reach = F.sequence(F.lit(0), F.lit(BEFORE + WINDOW - 1))
+    equal = lambda place: F.get("tokens", F.col("at") + place - BEFORE) == F.get("around", place)
+    bits = F.aggregate(
+        reach, F.lit(0),
+        lambda found, place: found * 2 + F.when(equal(place), F.lit(1)).otherwise(F.lit(0)),
+    )
     full = (1 << WINDOW) - 1
-    return F.greatest(*(
-        F.bit_count(F.col("bits").bitwiseAND(F.lit(full << start))) for start in range(BEFORE + 1)
-    )), bits
+    windows = lambda row: F.greatest(*(
+        F.bit_count(row.bitwiseAND(F.lit(full << start))) for start in range(BEFORE + 1)
+    ))
+    return F.get(F.transform(F.array(bits), windows), F.lit(0))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, pass_seeds: int = PASS_SEEDS) -> DataFrame:
@@ -124,17 +124,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, pass_seeds: int = PASS_SEEDS) -
             _seed(F.col("tokens"), F.col("at"), number, mask) for number, mask in enumerate(masks)
         ))).alias("seed"),
     ).where("seed is not null")
-    best, bits = _equal_tokens()
+    equal = F.when(F.col("size") < WINDOW, F.col("size")).otherwise(_equal_tokens())
     found = []
+    # Exploding the one value keeps the check out of the join's condition, where Spark
+    # would copy the document's tokens for every probe, hit or not.
     for number in range(passes):
         share = seeds.where(
             F.pmod(F.xxhash64("seed", "item_id", "at"), F.lit(passes)) == number
         ).withColumnRenamed("at", "item_at")
-        hits = probes.join(F.broadcast(share), "seed").withColumn("bits", bits)
         found.append(
-            hits.select(
+            probes.join(F.broadcast(share), "seed").select(
                 "doc_id", "version", "item_id", (F.col("at") - F.col("item_at")).alias("doc_start"),
-                F.when(F.col("size") < WINDOW, F.col("size")).otherwise(best).alias("n_equal"), "size",
+                "size", F.explode(F.array(equal)).alias("n_equal"),
             ).where(F.col("n_equal") >= F.least(F.col("size"), F.lit(MIN_EQUAL)))
         )
     return (
