@@ -31,10 +31,11 @@ from ledgerlake.session import shared_path
 END_ID = 2
 # Ids after which a shard is closed; it then ends with the document it is in.
 SHARD_IDS = 1 << 20
-# A rule must replace at least this many pairs of its shard.
+# A pair is frequent from this many places of its shard on.
 MIN_PAIRS = 256
 # Most rules that one round adds; further frequent pairs wait for the next round.
 ROUND_RULES = 4096
+SLOTS = 1 << 18
 REMEMBERED = 400_000
 
 # The byte-level word split, restated for texts on which Python's character classes
@@ -88,8 +89,8 @@ def re_pair(
 
     Each round counts all adjacent pairs inside documents, gives the frequent ones a
     symbol and replaces them; where replacements would overlap, the more frequent pair
-    goes first and of equal ones the left. It ends when no pair is frequent. Fewer than
-    ``min_pairs`` replacements are undone by not making the rule.
+    goes first and of equal ones the left. It ends when no pair is frequent. A pair that
+    loses so many places that not half of ``min_pairs`` are left gets no rule this time.
     """
     symbols = ids.astype(np.int64)
     last = np.zeros(len(symbols), bool)
@@ -99,38 +100,43 @@ def re_pair(
     while len(symbols) > 1:
         pairs = symbols[:-1] << 32 | symbols[1:]
         pairs[last[:-1]] = -1
-        ordered = np.sort(pairs)
+        # Counts by hash slot bound each pair's count, so most places are out at once.
+        slots = (pairs * 0x9E3779B97F4A7C1 >> 40) & (SLOTS - 1)
+        places = np.flatnonzero((np.bincount(slots, minlength=SLOTS) >= min_pairs)[slots] & (pairs >= 0))
+        found = pairs[places]
+        ordered = np.sort(found)
+        if not len(ordered):
+            break
         heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.concatenate((heads, [len(ordered)])))
         often = counts >= min_pairs
-        often &= ordered[heads] >= 0
         keys, counts = ordered[heads[often]], counts[often]
         if not len(keys):
             break
         if len(keys) > ROUND_RULES:
             kept = np.sort(np.argsort(-counts, kind="stable")[:ROUND_RULES])
             keys, counts = keys[kept], counts[kept]
-        # A small table first: most places hold no frequent pair.
-        slot = lambda pair: (pair * 0x9E3779B97F4A7C1 >> 40) & 0xFFFF
-        marked = np.zeros(1 << 16, bool)
-        marked[slot(keys)] = True
-        places = np.flatnonzero(marked[slot(pairs)])
-        rule = np.searchsorted(keys, pairs[places])
+        rule = np.searchsorted(keys, found)
         rule[rule == len(keys)] = 0
-        hit = keys[rule] == pairs[places]
+        hit = keys[rule] == found
         places, rule = places[hit], rule[hit]
         weight = np.zeros(len(symbols) + 1, np.int64)
         # Distinct per pair, so that neighbours tie only if they are the same pair.
         weight[places + 1] = counts[rule] * len(keys) + rule + 1
-        here = weight[places + 1]
+        here, before = weight[places + 1], weight[places]
         after = np.zeros(len(places), np.int64)
         inside = places + 2 <= len(symbols)
         after[inside] = weight[places[inside] + 2]
-        won = (here > weight[places]) & (here >= after)
+        # A symbol that repeats gives a run of one pair: every other place of it is
+        # taken, from the second on if a more frequent pair holds the first symbol.
+        opens = before != here
+        run = np.cumsum(opens) - 1
+        starts = np.flatnonzero(opens)
+        turn = (np.arange(len(places)) - starts[run] + (before > here)[starts][run]) % 2
+        won = (turn == 0) & (after <= here)
         done = np.bincount(rule[won], minlength=len(keys))
-        made = done >= min_pairs
-        if not made.any():
-            made = done == done.max()
+        # The most frequent pair loses no place to others, so each round makes a rule.
+        made = 2 * done >= min_pairs
         won &= made[rule]
         names = np.cumsum(made) - 1 + top
         rules.append(np.stack((keys[made] >> 32, keys[made] & 0xFFFFFFFF), axis=1))
