@@ -14,12 +14,14 @@ A shard is one row of a Parquet table. Its binary fields are little-endian array
 """
 
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
@@ -36,13 +38,16 @@ MIN_PAIRS = 256
 # Most rules that one round adds; further frequent pairs wait for the next round.
 ROUND_RULES = 4096
 SLOTS = 1 << 18
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+# Characters that are encoded together.
+GROUP_CHARS = 1 << 22
 
 # The byte-level word split, restated for texts on which Python's character classes
 # agree with the library's (``is_plain``).
-_PIECES = re.compile(
+_WORDS = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 )
+_BETWEEN_BLANKS = re.compile(r" (?<=\s )\s")
 
 
 def default_tokenizer() -> str:
@@ -54,7 +59,10 @@ def default_tokenizer() -> str:
 class PieceEncoder:
     """Whole-text encoding that remembers what the library gives for a word.
 
-    Texts with a special token or unusual characters go to the library in one piece.
+    A text is cut before its blanks, where the word split always cuts unless the blank
+    stands between two others. A chunk that was not seen lately is split into words,
+    and the library merges the words that were not seen lately. Texts with a special
+    token or unusual characters go to the library in one piece.
     """
 
     def __init__(self, path: str):
@@ -62,19 +70,76 @@ class PieceEncoder:
         self._merge = self._library.model.tokenize
         self._special = [token.content for token in self._library.get_added_tokens_decoder().values()]
         self._written = {ord(byte): shown for shown, byte in byte_alphabet().items()}
-        self._pieces = Memory(self._encode_piece, REMEMBERED)
+        self._words = Memory(self._encode_word, REMEMBERED)
+        self._chunks = Memory(self._encode_after_blank, REMEMBERED)
+        self._blank = self._written[ord(" ")]
         self.size = self._library.get_vocab_size()
 
-    def _encode_piece(self, piece: str) -> bytes:
-        written = piece.encode().decode("latin-1").translate(self._written)
-        return np.array([token.id for token in self._merge(written)], "<u4").tobytes()
+    def _encode_word(self, word: str) -> bytes:
+        written = word.encode().decode("latin-1").translate(self._written)
+        return self._merged(written)
+
+    def _merged(self, written: str) -> bytes:
+        ids = [token.id for token in self._merge(written)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _encode_after_blank(self, chunk: str) -> bytes:
+        # Letters only are one word, which is remembered as a chunk; ASCII ones are written
+        # as they are.
+        if chunk.isalpha():
+            return self._merged(self._blank + chunk) if chunk.isascii() else self._encode_word(" " + chunk)
+        return self._encode_chunk(" " + chunk)
+
+    def _encode_chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, _WORDS.findall(chunk)))
 
     def encode(self, text: str | None) -> np.ndarray:
+        """Ids of one whole text; null has none."""
         if not text:
             return np.zeros(0, np.uint32)
         if not is_plain(text) or any(token in text for token in self._special):
             return np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.frombuffer(b"".join(map(self._pieces.__getitem__, _PIECES.findall(text))), "<u4")
+        if _BETWEEN_BLANKS.search(text):
+            return np.frombuffer(self._encode_chunk(text), "<u4")
+        first, *chunks = text.split(" ")
+        rest = b"".join(map(self._chunks.__getitem__, chunks))
+        return np.frombuffer(self._encode_chunk(first) + rest, "<u4")
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text. Ordinary texts are cut together, each distinct chunk is looked
+        up once, and the ids are put in place by array arithmetic."""
+        found: list[np.ndarray | None] = [None] * len(texts)
+        together = []
+        for place, text in enumerate(texts):
+            if (
+                text and is_plain(text) and not _BETWEEN_BLANKS.search(text)
+                and not any(token in text for token in self._special)
+            ):
+                together.append(place)
+            else:
+                found[place] = self.encode(text)
+        if together:
+            cut = pc.split_pattern(pa.array([texts[place] for place in together], pa.large_string()), " ")
+            offsets = cut.offsets.to_numpy()
+            flat = cut.flatten()
+            coded = flat.dictionary_encode()
+            at = coded.indices.to_numpy().astype(np.int64)
+            ids = list(map(self._chunks.__getitem__, coded.dictionary.to_pylist()))
+            # The first chunk of a text has no blank before it: an entry of its own.
+            at[offsets[:-1]] = len(ids) + np.arange(len(together))
+            ids.extend(map(self._encode_chunk, flat.take(pa.array(offsets[:-1])).to_pylist()))
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            starts = np.cumsum(sizes) - sizes
+            each = sizes[at]
+            ends = np.cumsum(each)
+            total = int(ends[-1])
+            kind = np.int32 if max(total, int(sizes.sum())) < 1 << 31 else np.int64
+            source = np.repeat((starts[at] - ends + each).astype(kind), each)
+            source += np.arange(total, dtype=kind)
+            result = np.frombuffer(b"".join(ids), "<u4")[source]
+            for place, one in zip(together, np.split(result, ends[offsets[1:-1] - 1])):
+                found[place] = one
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -208,6 +273,21 @@ def _pack(part: int, shard: int, base: int, names: list, ids: list[np.ndarray])
     }
 
 
+def _text_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """Ids and texts in order, in groups of at most one text above ``GROUP_CHARS``."""
+    for batch in batches:
+        names, texts, held = [], [], 0
+        for name, text in zip(batch.column("doc_id"), batch.column("text")):
+            names.append(name.as_py())
+            texts.append(text.as_py())
+            held += len(texts[-1] or "")
+            if held >= GROUP_CHARS:
+                yield names, texts
+                names, texts, held = [], [], 0
+        if names:
+            yield names, texts
+
+
 def write_tokens(
     docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID,
     shard_ids: int = SHARD_IDS,
@@ -234,10 +314,10 @@ def write_tokens(
         part, shard = TaskContext.get().partitionId(), 0
         names, ids, held = [], [], 0
         end = np.array([end_id], np.uint32)
-        for batch in batches:
-            for name, text in zip(batch.column("doc_id"), batch.column("text")):
-                names.append(name.as_py())
-                ids.append(np.concatenate((encode.encode(text.as_py()), end)))
+        for group_names, texts in _text_groups(batches):
+            for name, found in zip(group_names, encode.encode_all(texts)):
+                names.append(name)
+                ids.append(np.concatenate((found, end)))
                 held += len(ids[-1])
                 if held >= shard_ids:
                     yield pa.RecordBatch.from_pylist([_pack(part, shard, base, names, ids)], schema)
