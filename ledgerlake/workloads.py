@@ -412,11 +412,25 @@ def minhash_signature(spark, sf_dir):
 
 
 def near_duplicate_candidates(spark, sf_dir):
-    """Candidate pairs at the operating point, oversized buckets suppressed."""
+    """Pairs left after buckets above the cap are suppressed: not all candidates.
+
+    ``near_duplicate_members`` and ``near_duplicate_buckets`` have all of them, on the
+    same signatures.
+    """
     bands = data.bands(_wide_signatures(spark, sf_dir), BAND_ROWS, BANDS)
     return lsh.suppressed_pairs(bands, CAP)
 
 
+def near_duplicate_members(spark, sf_dir):
+    """The content class of each notice: with the buckets, all candidates unsuppressed."""
+    return lsh.content_classes(_wide_signatures(spark, sf_dir))
+
+
+def near_duplicate_buckets(spark, sf_dir):
+    """Every bucket of two classes or more, one row per class in it."""
+    return _as_text(lsh.candidate_buckets(_wide_signatures(spark, sf_dir), BAND_ROWS, BANDS))
+
+
 def candidate_members(spark, sf_dir):
     """The content class of each notice: with the buckets, all candidates unsuppressed."""
     return lsh.content_classes(_signatures(spark, sf_dir))
@@ -564,7 +578,7 @@ QUERIES: dict[str, Query] = {
         label_file, notice_shards, manifest_checksum, normalized_tokens,
         marker_slice_tokens, shingle_sets, avg_shingles, pair_jaccard, conservative_threshold,
         example_pairs, minhash_md5_signature, minhash_signature, near_duplicate_candidates,
-        candidate_members, candidate_buckets,
+        near_duplicate_members, near_duplicate_buckets, candidate_members, candidate_buckets,
         minhash_estimate, pair_errors, estimator_error, lsh_bands, bucket_cap, lsh_candidates,
         probe_candidates, bucket_work_sweep, candidate_stats, candidate_counts,
         source_candidate_load, hottest_documents, mitigation_compare, labelled_survival,
