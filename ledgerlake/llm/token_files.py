@@ -3,14 +3,15 @@
 A shard is one row of a Parquet table. Its binary fields are little-endian arrays:
 
 ========== ============================================================================
-``rules``   pairs of symbols, ``width`` bytes each; rule r is symbol ``base + r``
-``lengths`` ids in the expansion of each rule, 4 bytes each
-``symbols`` the shortened ids of all documents, ``width`` bytes each
+``rules``   ``n_rules`` pairs of symbols; rule r is symbol ``base + r``
+``symbols`` the shortened ids of all documents
 ``stops``   index after the last symbol of each document, 4 bytes each
 ``sizes``   ids of each document, 4 bytes each
 ========== ============================================================================
 
-``doc_ids`` names the documents in order; ``part`` and ``shard`` order the rows.
+A symbol has 2 or 4 bytes if ``width`` says so. From 17 on, ``width`` is in bits: the low
+two bytes of all symbols come first, then a plane for each further bit, eight symbols to
+a byte. ``doc_ids`` names the documents in order; ``part`` and ``shard`` order the rows.
 """
 
 import re
@@ -33,8 +34,8 @@ from ledgerlake.session import shared_path
 END_ID = 2
 # Ids after which a shard is closed; it then ends with the document it is in.
 SHARD_IDS = 1 << 20
-# A pair is frequent from this many places of its shard on.
-MIN_PAIRS = 256
+# A pair is frequent from this many places of its shard on: every pair that repeats.
+MIN_PAIRS = 2
 # Most rules that one round adds; further frequent pairs wait for the next round.
 ROUND_RULES = 4096
 SLOTS = 1 << 18
@@ -220,16 +221,37 @@ def re_pair(
     return made_rules, symbols, new_stops
 
 
+def _write_symbols(values: np.ndarray, width: int) -> bytes:
+    if width <= 4:
+        return values.astype(f"<u{width}").tobytes()
+    planes = (np.packbits((values >> bit & 1).astype(bool)).tobytes() for bit in range(16, width))
+    return b"".join((values.astype("<u2").tobytes(), *planes))
+
+
+def _read_symbols(data: bytes, width: int, number: int) -> np.ndarray:
+    if width <= 4:
+        return np.frombuffer(data, f"<u{width}", number)
+    values = np.frombuffer(data, "<u2", number).astype(np.uint32)
+    size = -(-number // 8)
+    for bit in range(16, width):
+        plane = np.frombuffer(data, np.uint8, size, 2 * number + (bit - 16) * size)
+        values |= np.unpackbits(plane, count=number).astype(np.uint32) << np.uint32(bit)
+    return values
+
+
 class Shard:
     """Random access to the ids of one shard row."""
 
     def __init__(self, row: dict):
-        kind = f"<u{row['width']}"
-        rules = np.frombuffer(row["rules"], kind).reshape(-1, 2).astype(np.int64)
-        self.symbols = np.frombuffer(row["symbols"], kind)
+        base, width = row["base"], row["width"]
+        number = row["n_rules"] if width > 4 else len(row["rules"]) // (2 * width)
+        rules = _read_symbols(row["rules"], width, 2 * number).reshape(-1, 2).astype(np.int64)
         self.stops = np.frombuffer(row["stops"], "<u4").astype(np.int64)
-        base = row["base"]
-        self.lengths = np.concatenate((np.ones(base, np.int64), np.frombuffer(row["lengths"], "<u4")))
+        self.symbols = _read_symbols(row["symbols"], width, int(self.stops[-1]))
+        lengths = [1] * base
+        for left, right in rules.tolist():
+            lengths.append(lengths[left] + lengths[right])
+        self.lengths = np.array(lengths, np.int64)
         self._starts = np.cumsum(self.lengths) - self.lengths
         # Every symbol's ids in a row; a rule only uses symbols before it.
         self._ids = np.zeros(int(self.lengths.sum()), np.uint32)
@@ -253,23 +275,19 @@ class Shard:
 
 _SHARD = (
     "part int, shard int, base int, width int, doc_ids array<long>, sizes binary, "
-    "n_ids long, rules binary, lengths binary, symbols binary, stops binary"
+    "n_ids long, n_rules int, rules binary, symbols binary, stops binary"
 )
 
 
 def _pack(part: int, shard: int, base: int, names: list, ids: list[np.ndarray]) -> dict:
     sizes = np.array([len(one) for one in ids], np.int64)
     rules, symbols, stops = re_pair(np.concatenate(ids), np.cumsum(sizes), base)
-    lengths = [1] * base
-    for left, right in rules.tolist():
-        lengths.append(lengths[left] + lengths[right])
-    width = 2 if base + len(rules) <= 1 << 16 else 4
+    width = 2 if base + len(rules) <= 1 << 16 else (base + len(rules) - 1).bit_length()
     return {
         "part": part, "shard": shard, "base": base, "width": width, "doc_ids": names,
         "sizes": sizes.astype("<u4").tobytes(), "n_ids": int(sizes.sum()),
-        "rules": rules.astype(f"<u{width}").tobytes(),
-        "lengths": np.array(lengths[base:], "<u4").tobytes(),
-        "symbols": symbols.astype(f"<u{width}").tobytes(), "stops": stops.astype("<u4").tobytes(),
+        "n_rules": len(rules), "rules": _write_symbols(rules.ravel(), width),
+        "symbols": _write_symbols(symbols, width), "stops": stops.astype("<u4").tobytes(),
     }
 
 
@@ -305,7 +323,7 @@ def write_tokens(
     schema = pa.schema([
         ("part", pa.int32()), ("shard", pa.int32()), ("base", pa.int32()), ("width", pa.int32()),
         ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("n_ids", pa.int64()),
-        ("rules", pa.binary()), ("lengths", pa.binary()), ("symbols", pa.binary()), ("stops", pa.binary()),
+        ("n_rules", pa.int32()), ("rules", pa.binary()), ("symbols", pa.binary()), ("stops", pa.binary()),
     ])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
