@@ -20,6 +20,9 @@ ASSIGN_CHARS = 6
 
 # A value in so many owners' documents is an example that people copy.
 COPIED_OWNERS = 3
+# So is one in this many documents, even if they all have the same owner: an owner uses
+# a real key in a few places, a sample is pasted into many.
+COPIED_REPOSITORIES = 20
 # A value looks generated if it has this many characters, this many of them distinct.
 LIVE_CHARS = 12
 LIVE_DISTINCT = 8
@@ -85,12 +88,15 @@ def ownership(candidates: DataFrame) -> DataFrame:
     )
 
 
-def scan_secrets(docs: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
+) -> DataFrame:
     """One row per document row: ``doc_id`` and ``found``, its spans in order.
 
     ``found`` holds kind, start, end, ``n_repositories``, ``n_owners`` and ``verdict``:
-    ``copied`` (values that ``copied_owners`` owners or more hold: examples), ``live``
-    (one owner only, long and varied enough to be a real key), else ``unclear``. The
+    ``copied`` (examples: values that ``copied_owners`` owners or more hold, or
+    ``copied_repositories`` documents of whatever owner), ``live`` (one owner only, long and varied enough to be a real key), else ``unclear``. The
     kinds assign, access and hex are always kept. Bare key-like words join them as kind
     ``live`` only where the counts call them live and no base span covers them.
 
@@ -111,7 +117,10 @@ def scan_secrets(docs: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFra
         spread_by=["row", "kind", "start"],
     ).withColumn(
         "verdict",
-        F.when(F.col("n_owners") >= copied_owners, "copied")
+        F.when(
+            (F.col("n_owners") >= copied_owners) | (F.col("n_repositories") >= copied_repositories),
+            "copied",
+        )
         .when((F.col("n_owners") == 1) & looks_live, "live").otherwise("unclear"),
     ).where((F.col("kind") < 3) | (F.col("verdict") == "live"))
     base = F.col("kind") < 3
@@ -145,6 +154,13 @@ def scan_secrets(docs: DataFrame, copied_owners: int = COPIED_OWNERS) -> DataFra
     )
 
 
+def secret_ownership(docs: DataFrame) -> DataFrame:
+    """One row per span: place, kind, repositories and owners of its value, verdict."""
+    return scan_secrets(docs.select("doc_id", "text", "source")).select(
+        "doc_id", F.inline("found")
+    ).select("doc_id", "kind", "start", "end", "n_repositories", "n_owners", "verdict")
+
+
 def secret_digest(docs: DataFrame) -> DataFrame:
     """One row per document: counts by kind and verdict, base digest, all spans."""
     found = F.col("found")
