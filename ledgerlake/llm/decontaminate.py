@@ -14,8 +14,16 @@ MIN_EQUAL = 11
 # every window of 13 with up to two substitutions (checked in the tests over all cases).
 MASKS = ((0, 1, 3, 6, 7), (0, 1, 4, 6, 7))
 SPAN = 8
-# Items too short for a window must be found whole; below five tokens they are ignored.
-MIN_ITEM = 5
+# Items too short for a window must be found whole.
+MIN_ITEM = 1
+# Letters of scripts written without blanks (Thai, Lao, Myanmar, Khmer, kana, Han): each
+# is a token, since a run of them has no borders that two texts would share.
+UNSPACED = (
+    r"\x{0E01}-\x{0E30}\x{0E32}-\x{0E33}\x{0E40}-\x{0E46}\x{0E81}-\x{0EB0}\x{0EB2}-\x{0EB3}"
+    r"\x{0EC0}-\x{0EC6}\x{1000}-\x{102A}\x{103F}\x{1780}-\x{17B3}\x{3005}-\x{3007}"
+    r"\x{3041}-\x{3096}\x{309D}-\x{309F}\x{30A1}-\x{30FA}\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
+)
 # Seeds that are sent to every executor at a time, each about 250 bytes.
 PASS_SEEDS = 100_000
 
@@ -23,8 +31,12 @@ BEFORE = WINDOW - SPAN  # tokens that a window can reach before a seed
 
 
 def token_hashes(text: Column) -> Column:
-    """Hashes of the runs of letters and digits, in lower case."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", -1)
+    """Hashes of the runs of letters and digits, in lower case; unspaced letters one by one."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    apart = F.when(
+        low.rlike(f"[{UNSPACED}]"), F.regexp_replace(low, f"([{UNSPACED}])", " $1 ")
+    ).otherwise(low)
+    words = F.split(apart, r"[^\p{L}\p{N}]+", -1)
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
@@ -42,7 +54,7 @@ def _masks(items: DataFrame) -> list[tuple[int, ...]]:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``(item_id, tokens)``, one row per distinct token sequence of enough tokens.
+    """``(item_id, tokens)``, one row per distinct token sequence that is not empty.
 
     Items that read alike are one item, named by the smallest id.
     """
@@ -102,7 +114,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, pass_seeds: int = PASS_SEEDS) -
     ``version`` is a hash of the text: rows that share an id are told apart, equal rows
     are one. ``doc_start`` is the token where the item would begin (it may be negative).
     Null and empty texts leak nothing; null ids are kept as they are. An empty
-    benchmark, or one of items under five tokens, gives no rows. Columns other than
+    benchmark, or one of items without tokens, gives no rows. A short item flags every
+    document that holds it, be it a common word. Columns other than
     the id and the text are not looked at.
     """
     items = materialize(benchmark_items(benchmark.select("item_id", "text")), "items")

@@ -101,7 +101,8 @@ FROM embeddings e JOIN smallest USING (vec_id)"""
 
 def _tokens(table: str, name: str) -> str:
     return f"""
-  SELECT {name}, [w for w in string_split_regex(lower(coalesce(text, '')), '[^\\pL\\pN]+') if w <> ''] AS w
+  SELECT {name}, [w for w in string_split_regex(
+           regexp_replace(lower(coalesce(text, '')), '([{deco.UNSPACED}])', ' \\1 ', 'g'), '[^\\pL\\pN]+') if w <> ''] AS w
   FROM {table}"""
 
 
@@ -135,7 +136,14 @@ verified AS (
   FROM windows GROUP BY ALL HAVING n_equal >= {deco.MIN_EQUAL})
 SELECT doc_id, item_id, count(*) AS n_hits, max(n_equal) AS n_equal,
        arg_min(diagonal, -n_equal * 100000000 + diagonal) AS doc_start
-FROM verified GROUP BY doc_id, item_id"""
+FROM verified GROUP BY doc_id, item_id
+UNION ALL
+SELECT doc_id, item_id, count(*), max(len(i.w)), min(place) - 1
+FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS place FROM doc_id_words) d
+JOIN (SELECT min(item_id) AS item_id, w FROM ({_tokens("benchmark", "item_id")})
+      WHERE len(w) BETWEEN {deco.MIN_ITEM} AND {deco.WINDOW - 1} GROUP BY w) i
+  ON d.w[place] = i.w[1] AND d.w[place:place + len(i.w) - 1] = i.w
+GROUP BY doc_id, item_id"""
 
 ORACLES: dict[str, str] = {
     "op1_secret_scan": _SECRETS,
