@@ -5,7 +5,10 @@ against plain Python versions. Statements list what the Spark side never lists (
 vectors, characters of a value), since they only run on small tables.
 """
 
-from ledgerlake.llm import decontaminate as deco, embedding_dedup, line_dedup, secret_scan as scan
+from ledgerlake.llm import (
+    decontaminate as deco, embedding_dedup, lexical_search, line_dedup, secret_scan as scan,
+    source_audit as audit,
+)
 
 _NL = "chr(10)"
 
@@ -145,9 +148,73 @@ JOIN (SELECT min(item_id) AS item_id, w FROM ({_tokens("benchmark", "item_id")})
   ON d.w[place] = i.w[1] AND d.w[place:place + len(i.w) - 1] = i.w
 GROUP BY doc_id, item_id"""
 
+_SMALL = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _terms(pattern: str, rows: str) -> str:
+    found = f"unnest(regexp_extract_all(translate(text, {_SMALL}), '{pattern}')) AS term"
+    return f"SELECT * EXCLUDE (text), {found} FROM {rows}"
+
+
+_SEARCH = f"""
+WITH words AS ({_terms(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "(SELECT doc_id, text FROM documents)")}),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM ({_terms(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "(SELECT DISTINCT item_id, text FROM benchmark)")})
+  GROUP BY ALL),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+counts AS (
+  SELECT doc_id, term, count(*) AS tf FROM words SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, whole GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (doc_id), whole
+  GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= {lexical_search.TOP}"""
+
+# Shares of every kept term in every group, also those it does not hold.
+_AUDIT = f"""
+WITH given AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text FROM documents),
+words AS ({_terms(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "given")}),
+kept AS (
+  SELECT lang, term, count(*) AS total FROM words
+  GROUP BY ALL HAVING count(DISTINCT id) >= {audit.MIN_DOCS}),
+counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+spots AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, total
+  FROM (SELECT DISTINCT lang, source FROM given) JOIN kept USING (lang)
+  LEFT JOIN counts USING (lang, source, term)),
+shares AS (
+  SELECT *, 1 + ({audit.SCALE} * (n + 1)::HUGEINT) // (sum(n) OVER g + count(*) OVER g) AS p,
+         1 + ({audit.SCALE} * (total + 1)::HUGEINT) // (sum(total) OVER g + count(*) OVER g) AS q
+  FROM spots WINDOW g AS (PARTITION BY lang, source)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM (SELECT DISTINCT lang, source FROM given) a JOIN (SELECT DISTINCT lang, source FROM given) b
+    ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= {audit.TOP_TERMS}"""
+
 ORACLES: dict[str, str] = {
     "op1_secret_scan": _SECRETS,
     "op2_line_dedup": _LINES,
     "op3_embedding_near_dedup": _VECTORS,
     "op8_benchmark_decontamination": _LEAKS,
+    "op11_ranked_lexical_search": _SEARCH,
+    "op12_source_divergence_audit": _AUDIT,
 }

@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import (
-    bpe, decontaminate, embedding_dedup, language, line_dedup, quality, secret_scan, simhash,
-    token_files, toxicity,
+    bpe, decontaminate, embedding_dedup, language, lexical_search, line_dedup, packing, quality,
+    secret_scan, simhash, source_audit, token_files, toxicity,
 )
 from ledgerlake.llm.common import table
 
@@ -62,6 +62,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op12_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op1_secret_ownership": op1_secret_ownership,
@@ -74,4 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "op11_ranked_lexical_search": op11_ranked_lexical_search,
+    "op12_source_divergence_audit": op12_source_divergence_audit,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
