@@ -36,8 +36,6 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 # A pair is frequent from this many places of its shard on: every pair that repeats.
 MIN_PAIRS = 2
-# Most rules that one round adds; further frequent pairs wait for the next round.
-ROUND_RULES = 4096
 SLOTS = 1 << 18
 REMEMBERED = 300_000
 # Characters that are encoded together.
@@ -153,66 +151,82 @@ def re_pair(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules, shortened symbols and stops of a shard.
 
-    Each round counts all adjacent pairs inside documents, gives the frequent ones a
-    symbol and replaces them; where replacements would overlap, the more frequent pair
-    goes first and of equal ones the left. It ends when no pair is frequent. A pair that
-    loses so many places that not half of ``min_pairs`` are left gets no rule this time.
+    Each round counts the adjacent pairs inside documents, gives the frequent ones a symbol
+    and replaces them; where replacements would overlap, the more frequent pair goes first
+    and of equally frequent ones that with the larger hash, so that a chain of ties falls
+    apart in few rounds. It ends when no pair is frequent. A pair that loses so many places
+    that fewer than ``min_pairs`` are left gets no rule this time.
+
+    A pair that was rare can only become frequent where one of its symbols is new, so later
+    rounds look at the places next to replaced ones and at pairs that are still frequent.
     """
+    min_pairs = max(min_pairs, 2)
     symbols = ids.astype(np.int64)
     last = np.zeros(len(symbols), bool)
     last[stops[stops > np.concatenate(([0], stops[:-1]))] - 1] = True
     rules: list[np.ndarray] = []
     top = base
-    while len(symbols) > 1:
-        pairs = symbols[:-1] << 32 | symbols[1:]
-        pairs[last[:-1]] = -1
+    open_places = ~last
+    while True:
+        places = np.flatnonzero(open_places)
+        pairs = symbols[places] << 32 | symbols[places + 1]
         # Counts by hash slot bound each pair's count, so most places are out at once.
-        slots = (pairs * 0x9E3779B97F4A7C1 >> 40) & (SLOTS - 1)
-        places = np.flatnonzero((np.bincount(slots, minlength=SLOTS) >= min_pairs)[slots] & (pairs >= 0))
-        found = pairs[places]
-        ordered = np.sort(found)
-        if not len(ordered):
-            break
-        heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        counts = np.diff(np.concatenate((heads, [len(ordered)])))
+        hashes = pairs * 0x9E3779B97F4A7C1
+        slots = (hashes >> 40) & (SLOTS - 1)
+        some = (np.bincount(slots, minlength=SLOTS) >= min_pairs)[slots]
+        open_places[places[~some]] = False
+        places, pairs, hashes = places[some], pairs[some], hashes[some]
+        # A symbol that repeats gives a run of one pair: only every other place counts.
+        same = pairs >> 32 == pairs & 0xFFFFFFFF
+        if same.any():
+            run = np.flatnonzero(same)
+            opens = np.diff(places[run], prepend=-2) != 1
+            opens[1:] |= pairs[run[1:]] != pairs[run[:-1]]
+            start = np.flatnonzero(opens)[np.cumsum(opens) - 1]
+            keep = np.ones(len(places), bool)
+            keep[run[(np.arange(len(run)) - start) % 2 == 1]] = False
+            places, pairs, hashes = places[keep], pairs[keep], hashes[keep]
+        order = np.argsort(pairs)
+        ordered = pairs[order]
+        heads = np.flatnonzero(np.diff(ordered, prepend=-1))
+        counts = np.diff(np.append(heads, len(ordered)))
         often = counts >= min_pairs
-        keys, counts = ordered[heads[often]], counts[often]
-        if not len(keys):
+        if not often.any():
+            break
+        rule = np.empty(len(places), np.int64)
+        rule[order] = np.repeat(np.arange(len(counts)), counts)
+        hit = often[rule]
+        open_places[places[~hit]] = False
+        places, rule, hashes = places[hit], rule[hit], hashes[hit]
+        weight = np.zeros(len(symbols) + 2, np.int64)
+        weight[places + 1] = counts[rule] << 30 | (hashes >> 20) & (1 << 30) - 1
+        here = weight[places + 1]
+        won = (weight[places] < here) & (weight[places + 2] <= here)
+        done = np.bincount(rule[won], minlength=len(counts))
+        # The pair of the greatest weight loses no place, so each round makes a rule.
+        made = done >= min_pairs
+        if not made.any():
             break
-        if len(keys) > ROUND_RULES:
-            kept = np.sort(np.argsort(-counts, kind="stable")[:ROUND_RULES])
-            keys, counts = keys[kept], counts[kept]
-        rule = np.searchsorted(keys, found)
-        rule[rule == len(keys)] = 0
-        hit = keys[rule] == found
-        places, rule = places[hit], rule[hit]
-        weight = np.zeros(len(symbols) + 1, np.int64)
-        # Distinct per pair, so that neighbours tie only if they are the same pair.
-        weight[places + 1] = counts[rule] * len(keys) + rule + 1
-        here, before = weight[places + 1], weight[places]
-        after = np.zeros(len(places), np.int64)
-        inside = places + 2 <= len(symbols)
-        after[inside] = weight[places[inside] + 2]
-        # A symbol that repeats gives a run of one pair: every other place of it is
-        # taken, from the second on if a more frequent pair holds the first symbol.
-        opens = before != here
-        run = np.cumsum(opens) - 1
-        starts = np.flatnonzero(opens)
-        turn = (np.arange(len(places)) - starts[run] + (before > here)[starts][run]) % 2
-        won = (turn == 0) & (after <= here)
-        done = np.bincount(rule[won], minlength=len(keys))
-        # The most frequent pair loses no place to others, so each round makes a rule.
-        made = 2 * done >= min_pairs
         won &= made[rule]
         names = np.cumsum(made) - 1 + top
-        rules.append(np.stack((keys[made] >> 32, keys[made] & 0xFFFFFFFF), axis=1))
-        top += int(made.sum())
+        keys = ordered[heads[made]]
+        rules.append(np.stack((keys >> 32, keys & 0xFFFFFFFF), axis=1))
+        top += len(keys)
         at = places[won]
         symbols[at] = names[rule[won]]
         last[at] = last[at + 1]
+        # The pairs before and after a new symbol are new.
+        open_places[at] = True
+        before = at[at > 0] - 1
+        open_places[before] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        open_places[at + 1] = False
+        # The symbol before a new one may itself have been merged away.
+        merged = before[~keep[before]]
+        open_places[merged - 1] = True
+        symbols, last, open_places = symbols[keep], last[keep], open_places[keep]
+        open_places &= ~last
     made_rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     ends = np.flatnonzero(last) + 1
     # Documents without ids end where the one before does.
@@ -248,29 +262,41 @@ class Shard:
         rules = _read_symbols(row["rules"], width, 2 * number).reshape(-1, 2).astype(np.int64)
         self.stops = np.frombuffer(row["stops"], "<u4").astype(np.int64)
         self.symbols = _read_symbols(row["symbols"], width, int(self.stops[-1]))
-        lengths = [1] * base
-        for left, right in rules.tolist():
-            lengths.append(lengths[left] + lengths[right])
-        self.lengths = np.array(lengths, np.int64)
-        self._starts = np.cumsum(self.lengths) - self.lengths
-        # Every symbol's ids in a row; a rule only uses symbols before it.
-        self._ids = np.zeros(int(self.lengths.sum()), np.uint32)
-        self._ids[:base] = np.arange(base)
-        for place, (left, right) in enumerate(rules.tolist()):
-            begin = self._starts[base + place]
-            for part in (left, right):
-                size = self.lengths[part]
-                self._ids[begin:begin + size] = self._ids[self._starts[part]:self._starts[part] + size]
-                begin += size
+        self._base, self._rules = base, rules
+        # A rule only uses symbols before it: all rules up to the first that uses one of
+        # them get their lengths in one step.
+        self.lengths = np.ones(base + len(rules), np.int64)
+        reach = np.maximum.accumulate(rules.max(axis=1)) if len(rules) else np.zeros(0, np.int64)
+        begin = 0
+        while begin < len(rules):
+            end = int(np.searchsorted(reach, base + begin))
+            self.lengths[base + begin:base + end] = self.lengths[rules[begin:end]].sum(axis=1)
+            begin = end
+
+    def _expand(self, symbols: np.ndarray) -> np.ndarray:
+        """Ids of a row of symbols: rules are opened level by level, each at its own place,
+        so the work follows the ids asked for."""
+        symbols = symbols.astype(np.int64)
+        sizes = self.lengths[symbols]
+        places = np.cumsum(sizes) - sizes
+        ids = np.zeros(int(sizes.sum()), np.uint32)
+        while len(symbols):
+            plain = symbols < self._base
+            ids[places[plain]] = symbols[plain]
+            symbols, places = symbols[~plain], places[~plain]
+            left, right = self._rules[symbols - self._base].T
+            places = np.concatenate((places, places + self.lengths[left]))
+            symbols = np.concatenate((left, right))
+        return ids
 
     def document(self, place: int) -> np.ndarray:
         """Ids of one document; the others are not expanded."""
         begin = self.stops[place - 1] if place else 0
-        symbols = self.symbols[begin:self.stops[place]]
-        sizes = self.lengths[symbols]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self._ids[np.repeat(self._starts[symbols] - ends + sizes, sizes) + np.arange(total)]
+        return self._expand(self.symbols[begin:self.stops[place]])
+
+    def ids(self) -> np.ndarray:
+        """Ids of all documents, one after the other."""
+        return self._expand(self.symbols)
 
 
 _SHARD = (
@@ -384,7 +410,7 @@ def _unpacker(names: list[str]) -> Callable:
                 row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
                 shard = Shard(row)
                 sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
-                ids = [shard.document(place) for place in range(len(sizes))]
+                ids = np.split(shard.ids(), np.cumsum(sizes)[:-1]) if len(sizes) else []
                 total = len(sizes)
                 columns = {
                     "doc_id": pa.array(row["doc_ids"], pa.int64()),
