@@ -49,8 +49,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
 
-def cut_terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The lower-cased terms of all texts in order, and the number of terms of each text."""
+def cut_terms(texts: pa.Array, is_term: np.ndarray = _IS_TERM) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased terms of all texts in order, and the number of terms of each text.
+
+    ``is_term`` says of each byte whether it belongs to a term.
+    """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, offsets, data = texts.buffers()
     edges = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
@@ -58,7 +61,7 @@ def cut_terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         return pa.array([], pa.large_binary()), np.zeros(len(texts), np.int64)
     data = np.frombuffer(data, np.uint8)[edges[0]:edges[-1]]
     edges = edges - edges[0]
-    term = _IS_TERM[data]
+    term = is_term[data]
     # A term begins where none was before, and at the first byte of a text.
     before = np.concatenate(([False], term[:-1]))
     before[edges[:-1][edges[:-1] < len(data)]] = False
@@ -79,7 +82,7 @@ def _split(words: bytes, stops: bytes) -> pa.Array:
     )
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all ranges ``starts[i] .. starts[i] + sizes[i] - 1``, one after another."""
     ends = np.cumsum(sizes)
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
@@ -103,7 +106,7 @@ def pack_shard(doc_ids: list, texts: pa.Array) -> dict:
     word, doc = np.divmod(keys[heads], docs)
     dfs = np.bincount(word, minlength=len(words))
     # Blocks begin every BLOCK postings of a list.
-    in_list = _ranges(np.zeros(len(dfs), np.int64), dfs)
+    in_list = ranges(np.zeros(len(dfs), np.int64), dfs)
     opens = np.flatnonzero(in_list % BLOCK == 0)
     block = np.cumsum(in_list % BLOCK == 0) - 1
     filled = np.diff(np.append(opens, len(doc)))
@@ -257,9 +260,9 @@ class Shard:
         # Greatest impact of each block of the words' lists, and of each list.
         ends = np.frombuffer(row["best_stops"], "<u4").astype(np.int64)
         begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-        wanted = np.unique(_ranges(self.first, self.blocks))
+        wanted = np.unique(ranges(self.first, self.blocks))
         number = (ends - begins)[wanted]
-        at = _ranges(begins[wanted], number)
+        at = ranges(begins[wanted], number)
         impacts = _impact(
             np.frombuffer(row["best_tf"], "<u4").astype(np.int64)[at],
             np.frombuffer(row["best_size"], "<u4").astype(np.int64)[at], docs, terms,
@@ -270,7 +273,7 @@ class Shard:
         self.list_best = np.zeros(len(words), np.int64)
         some = np.flatnonzero(self.blocks)
         if len(some):
-            span = _ranges(self.first[some], self.blocks[some])
+            span = ranges(self.first[some], self.blocks[some])
             opens = np.cumsum(self.blocks[some]) - self.blocks[some]
             self.list_best[some] = np.maximum.reduceat(self.block_best[span], opens)
 
