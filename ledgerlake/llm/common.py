@@ -30,6 +30,18 @@ def workers_import(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
 
 
+def bound_batches(spark: SparkSession, rows: int = 1_000, size: str = "8m") -> None:
+    """Let the session send at most so many rows and bytes to Python at a time.
+
+    A session with its defaults sends 10,000 whole texts, and a worker keeps the memory
+    of its largest batch while later stages run. A smaller setting stays as it is.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
