@@ -3,12 +3,13 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlake.llm import bpe, decontaminate, language, line_dedup, simhash
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import bound_batches, table
 from ledgerlake.session import shared_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those without letters or below 0.5 go."""
+    bound_batches(spark)
     return language.keep_identified(docs)
 
 
@@ -23,6 +24,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
+    bound_batches(spark)
     return simhash.keep_representatives(docs)
 
 
@@ -33,6 +35,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, with digests of the ids and of the decoded text."""
+    bound_batches(spark)
     return bpe.encode_documents(docs)
 
 
