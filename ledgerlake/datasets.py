@@ -307,14 +307,21 @@ TITLE_CHARS = 120
 RULE = "-" * 12
 
 
+# Form letters are notices of their own; their ids start here.
+FORM_IDS = 100_000_000_000
+
+
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as notices: a fifth each framed, closed by a clause, plain, a form letter
-    that only differs in its amount, date and number, and framed again without reference.
+    """Documents as notices, each with its whole text: framed, closed by a clause, plain, or
+    framed without reference. A fifth of the documents also gives a form letter that only
+    differs in its amount, date and number.
 
     The frames hold what real notices do: markers, amounts, dates, references,
-    boilerplate and a disclaimer, so that every rule of the normalization meets text.
+    boilerplate and a disclaimer, so that every rule of the normalization meets text. A
+    hash of the id chooses, so that any range or residue of ids holds every kind.
     """
-    kind = F.col("doc_id") % 5
+    mixed = F.expr("(doc_id * 2654435761) % 4294967296 div 65536")
+    kind, has_form = mixed % 4, F.floor(mixed / 4) % 5 == 0
     number, chars = F.col("doc_id").cast("string"), F.col("n_chars").cast("string")
     day = (F.lit(1) + F.col("doc_id") % 28).cast("string")
     framed = F.concat(
@@ -337,15 +344,22 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("State Procurement Cell sheet "), number, F.lit(". Scope of work for "), "source",
         F.lit("\n"), "text", F.lit("\n" + RULE + "\nDisclaimer: as given."),
     )
-    body = (
-        F.when(kind == 1, framed).when(kind == 2, clause).when(kind == 0, form)
-        .when(kind == 4, again).otherwise(F.col("text"))
-    )
     heading = F.substring(F.substring_index("text", "\n", 1), 1, TITLE_CHARS)
-    title = F.when(kind == 0, F.concat(F.lit("Supply notice "), "lang")).otherwise(heading)
+    whole = F.struct(
+        F.col("doc_id").alias("notice_id"), heading.alias("title"),
+        F.when(kind == 0, framed).when(kind == 1, clause).when(kind == 2, again)
+        .otherwise(F.col("text")).alias("body"),
+    )
+    letter = F.struct(
+        (F.col("doc_id") + FORM_IDS).alias("notice_id"),
+        F.concat(F.lit("Supply notice "), "lang").alias("title"), form.alias("body"),
+    )
+    each = F.when(has_form, F.array(whole, letter)).otherwise(F.array(whole))
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("notice_id"), F.col("source").alias("portal_id"),
-        title.alias("title"), body.alias("body"), "lang", "n_chars",
+        F.explode(each).alias("notice"), "source", "lang", "n_chars"
+    ).select(
+        "notice.notice_id", F.col("source").alias("portal_id"), "notice.title", "notice.body",
+        "lang", "n_chars",
     )
 
 

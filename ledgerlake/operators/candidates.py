@@ -1,30 +1,126 @@
 """Candidate load per notice and portal, before and after bucket suppression.
 
 Before suppression a bucket may hold a third of all notices, and its pairs are never
-listed. The load there is the comparison work: each other notice of each bucket a
-notice is in, counted from bucket sizes. After suppression pairs are few enough to be
-listed, so the distinct candidates are counted as well.
+listed. The load there is the comparison work, each other notice of each bucket a notice is
+in, counted from bucket sizes, and the number of distinct candidates, counted by content
+classes or, for the heaviest classes, from merged sketches. After suppression pairs are few
+enough to be listed and counted.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlake.operators.lsh import BUCKET_CAP, pairs_within, sized_rows
+from ledgerlake.operators.lsh import (
+    BUCKET, BUCKET_CAP, band_rows, content_classes, pairs_within, signature_class, sized_rows,
+)
 from ledgerlake.operators.percentiles import percentiles
-from ledgerlake.operators.skew import HOT_ROWS
+from ledgerlake.operators.skew import HOT_ROWS, lookup_join, split_join, with_group_size
 from ledgerlake.session import materialize
 
 HOTTEST = 10
 STAGES = ("before", "after")
+# Classes of this comparison work or less count their candidates exactly.
+EXACT_WORK = 20_000
+# Sketches of 2^14 registers: a standard error of about 0.8 percent.
+SKETCH_BITS = 14
+
+
+def distinct_candidates(
+    signatures: DataFrame, rows: int, bands: int, exact_work: int = EXACT_WORK,
+    sketch_bits: int = SKETCH_BITS, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Stored ``(notice_id, candidate_count, is_exact)`` with no bucket suppressed.
+
+    Notices of a class share all buckets, so classes are counted: a notice's candidates are
+    the other notices of its class and those of every class that shares a bucket. A class
+    whose buckets hold at most ``exact_work`` other classes, summed over its bands, meets
+    them in a join and counts exactly; that join makes at most ``exact_work`` rows a class,
+    and only buckets up to that size take part. For the others each bucket has one sketch,
+    merged from its classes' sketches of notice ids, and a class merges the sketches of its
+    buckets: work in proportion to the band rows, with the sketch's error.
+    ``signatures(notice_id, signature)`` is read twice: pass a stored table.
+    """
+    classes = materialize(
+        signatures.where(F.col("signature").isNotNull())
+        .groupBy(signature_class().alias("class_id"))
+        .agg(F.any_value("signature").alias("signature"), F.count("*").alias("notices")),
+        "classes",
+    )
+    keyed = materialize(
+        band_rows(classes.withColumnRenamed("class_id", "notice_id"), rows, bands)
+        .withColumnRenamed("notice_id", "class_id"), "class-bands",
+    )
+    sized = with_group_size(keyed, BUCKET, "bucket_classes", hot_rows)
+    shared = materialize(sized.where("bucket_classes > 1"), "shared-bands")
+    work = materialize(
+        shared.groupBy("class_id").agg(F.sum(F.col("bucket_classes") - 1).alias("work")), "class-work"
+    )
+    marked = materialize(
+        lookup_join(shared, work, ["class_id"], "inner"), "marked-bands"
+    )
+    weights = classes.select(F.col("class_id").alias("other_class"), "notices")
+    light = marked.where(F.col("work") <= exact_work).select("class_id", *BUCKET)
+    others = marked.where(F.col("bucket_classes") <= exact_work + 1).select(
+        F.col("class_id").alias("other_class"), *BUCKET
+    )
+    met = split_join(light, others, BUCKET, F.col("class_id") != F.col("other_class")).select(
+        "class_id", "other_class"
+    ).distinct()
+    counted = (
+        lookup_join(met, weights, ["other_class"], "inner")
+        .groupBy("class_id").agg(F.sum("notices").alias("others"))
+        .withColumn("is_exact", F.lit(True))
+    )
+    heavy = marked.where(F.col("work") > exact_work).select("class_id", *BUCKET)
+    if not heavy.isEmpty():
+        counted = counted.unionByName(
+            _sketched(signatures, marked, heavy, exact_work, sketch_bits, hot_rows)
+        )
+    own = F.col("notices") - 1
+    per_class = classes.select("class_id", "notices").join(counted, "class_id", "left").select(
+        "class_id",
+        # A sketch counts the class itself as well.
+        F.when(F.col("is_exact"), F.col("others") + own).otherwise(F.coalesce(F.col("others") - 1, own))
+        .cast("bigint").alias("candidate_count"),
+        F.coalesce("is_exact", F.lit(True)).alias("is_exact"),
+    )
+    members = content_classes(signatures)
+    return materialize(
+        lookup_join(members, per_class, ["class_id"], "inner").drop("class_id"), "distinct-candidates"
+    )
+
+
+def _sketched(
+    signatures: DataFrame, marked: DataFrame, heavy: DataFrame, exact_work: int,
+    sketch_bits: int, hot_rows: int,
+) -> DataFrame:
+    """``(class_id, others, is_exact)`` of heavy classes, themselves counted too."""
+    of_class = materialize(
+        signatures.where(F.col("signature").isNotNull())
+        .groupBy(signature_class().alias("class_id"))
+        .agg(F.hll_sketch_agg(F.col("notice_id").cast("string"), F.lit(sketch_bits)).alias("sketch")),
+        "class-sketches",
+    )
+    asked = heavy.select(*BUCKET).distinct()
+    members = marked.select("class_id", *BUCKET).join(asked, list(BUCKET), "left_semi")
+    of_bucket = materialize(
+        lookup_join(members, of_class, ["class_id"], "inner", None, 1_000, hot_rows)
+        .groupBy(*BUCKET).agg(F.hll_union_agg("sketch").alias("sketch")), "bucket-sketches",
+    )
+    merged = lookup_join(heavy, of_bucket, BUCKET, "inner", None, 1_000, hot_rows)
+    return merged.groupBy("class_id").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("others")
+    ).withColumn("is_exact", F.lit(False))
 
 
 def candidate_load(
-    notices: DataFrame, bands: DataFrame, cap: int = BUCKET_CAP, hot_rows: int = HOT_ROWS
+    notices: DataFrame, bands: DataFrame, unsuppressed: DataFrame, cap: int = BUCKET_CAP,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Stored load: one row per stage and notice of ``notices(notice_id, portal_id)``.
 
     ``candidate_work`` counts a candidate once per shared bucket; ``candidate_count``
-    counts distinct candidates, and is null before suppression. ``bands`` is read
-    twice: pass a stored table.
+    counts distinct candidates, before suppression those of ``unsuppressed``
+    (:func:`distinct_candidates`). ``bands`` is read twice: pass a stored table.
     """
     sized = materialize(sized_rows(bands, hot_rows).where("bucket_size > 1"), "sized-bands")
     others = F.col("bucket_size") - 1
@@ -33,15 +129,17 @@ def candidate_load(
         F.sum(F.when(F.col("bucket_size") <= cap, others).otherwise(0)).alias("after"),
     )
     counts = counts_from_pairs(pairs_within(sized, cap))
+    before = unsuppressed.select("notice_id", F.col("candidate_count").alias("count_before"))
     each = (
         notices.select("notice_id", "portal_id")
         .join(work, "notice_id", "left").join(counts, "notice_id", "left")
+        .join(before, "notice_id", "left")
     )
     zero = F.lit(0).cast("bigint")
     stages = F.array(
         F.struct(
             F.lit("before").alias("stage"), F.coalesce("before", zero).alias("candidate_work"),
-            F.lit(None).cast("bigint").alias("candidate_count"),
+            F.coalesce("count_before", zero).alias("candidate_count"),
         ),
         F.struct(
             F.lit("after").alias("stage"), F.coalesce("after", zero).alias("candidate_work"),
@@ -100,10 +198,10 @@ def heaviest_portal_first(load: DataFrame) -> DataFrame:
 
 
 def hottest_notices(load: DataFrame, top: int = HOTTEST) -> DataFrame:
-    """Per stage the notices with most work; one without any never shows."""
-    busy = load.where("candidate_work > 0")
+    """Per stage the notices with most candidates; one without any never shows."""
+    busy = load.where("candidate_count > 0")
     parts = [
-        busy.where(F.col("stage") == stage).orderBy(F.desc("candidate_work"), "notice_id").limit(top)
+        busy.where(F.col("stage") == stage).orderBy(F.desc("candidate_count"), "notice_id").limit(top)
         for stage in STAGES
     ]
     return parts[0].unionByName(parts[1])

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.operators.percentiles import percentiles
-from ledgerlake.operators.skew import HOT_ROWS, lookup_join, with_group_size
+from ledgerlake.operators.skew import HOT_ROWS, TASK_PAIRS, split_join, with_group_size
 from ledgerlake.session import materialize
 
 BUCKET = ("band_no", "band_hash")
@@ -110,16 +110,18 @@ def suppressed_pairs(bands: DataFrame, cap: int, hot_rows: int = HOT_ROWS) -> Da
 
 def probe_candidates(
     probes: DataFrame, bands: DataFrame, max_broadcast_rows: int = 100_000,
-    hot_rows: int = HOT_ROWS,
+    task_pairs: int = TASK_PAIRS,
 ) -> DataFrame:
-    """All candidates of each probe notice, itself left out.
+    """All candidates of each probe notice, itself left out, one row per pair.
 
-    ``probes`` are band rows of the probe notices; many probes share one pass.
+    ``probes`` are band rows of the probe notices; many probes share one pass, and a bucket
+    that holds many of both sides is split on both. Where copies are many,
+    ``notice_index.lookup`` gives the same candidates by content class.
     """
     wanted = probes.select(F.col("notice_id").alias("probe_id"), *BUCKET)
-    found = lookup_join(
-        bands, wanted, BUCKET, "inner", F.col("notice_id") != F.col("probe_id"),
-        max_broadcast_rows, hot_rows,
+    found = split_join(
+        bands, wanted, BUCKET, F.col("notice_id") != F.col("probe_id"), None,
+        max_broadcast_rows, task_pairs,
     )
     return found.select("probe_id", "notice_id").distinct()
 

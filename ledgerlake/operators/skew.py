@@ -4,10 +4,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlake.session import materialize
+
 # A key below this many rows is an ordinary task's work.
 HOT_ROWS = 1_000_000
 # At most this many keys get special treatment, so the hot table has a fixed size.
 HOT_KEYS = 10_000
+# Joined rows, or values where rows are wide, that one task makes of one key.
+TASK_PAIRS = 4_000_000
 # Largest lookup side, in rows, that is sent to every executor.
 BROADCAST_ROWS = 100_000
 
@@ -99,6 +103,91 @@ def lookup_join(
     return joined.select(*left.columns, *rest)
 
 
+def split_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], weight: Column | None = None,
+    task_pairs: int = TASK_PAIRS,
+) -> DataFrame:
+    """``(keys, left_parts, right_parts)`` of the keys whose join is more than a task's work.
+
+    A key of L rows on the left and right rows of total ``weight`` R makes L x R values. It
+    is dealt into ``left_parts`` x ``right_parts`` cells of about ``task_pairs`` each, the
+    cells as square as the sides allow, so that the rows repeated for them stay few. Both
+    sides are counted with map-side combination; keys on one side only do not show.
+    """
+    keys = list(keys)
+    lefts = left.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("left_rows"))
+    values = F.count("*") if weight is None else F.sum(F.greatest(weight, F.lit(1)).cast("long"))
+    rights = right.dropna(subset=keys).groupBy(*keys).agg(
+        F.count("*").alias("right_rows"), values.alias("right_values")
+    )
+    lr, rr = F.col("left_rows"), F.col("right_rows")
+    cells = F.ceil(lr.cast("double") * F.col("right_values") / task_pairs)
+    across = F.least(rr, F.greatest(F.lit(1), F.round(F.sqrt(cells * rr / lr)))).cast("int")
+    down = F.least(lr, F.ceil(cells / F.col("right_parts"))).cast("int")
+    return (
+        lefts.join(rights, keys).where(cells > 1)
+        .withColumn("right_parts", across).withColumn("left_parts", down)
+        .select(*keys, "left_parts", "right_parts")
+    )
+
+
+def split_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    condition: Column | None = None,
+    weight: Column | None = None,
+    max_broadcast_rows: int = BROADCAST_ROWS,
+    task_pairs: int = TASK_PAIRS,
+    left_from: DataFrame | None = None,
+    left_by: Sequence[str] | None = None,
+    right_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Inner join of two sides that may both be heavy on one key, or wide on the right.
+
+    A right side of at most ``max_broadcast_rows`` rows is broadcast. Otherwise keys whose
+    joined rows (times ``weight``, the values of a right row) exceed ``task_pairs`` are
+    dealt into cells (:func:`split_keys`): a left row goes to one row of cells and a right
+    row to one column, each by a hash of its columns ``left_by`` and ``right_by`` (default:
+    all). Every pair meets in exactly one cell, and a cell makes about ``task_pairs`` values
+    however heavy its key. ``left_from`` is a cheaper frame with the same key counts as
+    ``left``. Rows with a null key join nothing.
+    """
+    keys = list(keys)
+    names = [f"lookup_{key}" for key in keys]
+    equal = [F.col(key) == F.col(name) for key, name in zip(keys, names)]
+    extra = [] if condition is None else [condition]
+    rest = [name for name in right.columns if name not in keys]
+    if fits_broadcast(right, max_broadcast_rows):
+        renamed = right.withColumnsRenamed(dict(zip(keys, names)))
+        return left.join(F.broadcast(renamed), equal + extra, "inner").select(*left.columns, *rest)
+    heavy = materialize(
+        split_keys(left if left_from is None else left_from, right, keys, weight, task_pairs), "split-keys"
+    )
+    sizes = [F.coalesce(name, F.lit(1)) for name in ("left_parts", "right_parts")]
+    none = heavy.isEmpty()
+
+    def dealt(side: DataFrame, by: Sequence[str], own: int) -> DataFrame:
+        if none:
+            return side.withColumns({"row_cell": F.lit(0), "column_cell": F.lit(0)})
+        cells = ["row_cell", "column_cell"]
+        sized = lookup_join(side.dropna(subset=keys), heavy, keys, "left", hot_from=side.select(*keys))
+        return sized.withColumn(
+            cells[own], F.pmod(F.xxhash64(*by), sizes[own]).cast("int")
+        ).withColumn(
+            cells[1 - own], F.explode(F.sequence(F.lit(0), sizes[1 - own] - 1))
+        ).select(*side.columns, *cells)
+
+    lefts = dealt(left, left_by or left.columns, 0)
+    rights = dealt(right, right_by or right.columns, 1).withColumnsRenamed(
+        dict(zip([*keys, "row_cell", "column_cell"], [*names, "lookup_row", "lookup_column"]))
+    )
+    cell = [] if none else [
+        F.col("row_cell") == F.col("lookup_row"), F.col("column_cell") == F.col("lookup_column")
+    ]
+    return lefts.join(rights, equal + cell + extra, "inner").select(*left.columns, *rest)
+
+
 def with_group_size(
     df: DataFrame, keys: Sequence[str], size: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:

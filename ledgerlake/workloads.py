@@ -1,13 +1,14 @@
 """The registered queries: each runs one operator group over the whole given tables."""
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlake import datasets as data
 from ledgerlake.functions import text
-from ledgerlake.operators import candidates, evaluate, lsh, quality
+from ledgerlake.operators import candidates, evaluate, lsh, notice_index, quality
 from ledgerlake.operators.landing import land
 from ledgerlake.operators.minhash import (
     estimated_jaccard, portable_family, portable_wide_family, signature_size,
@@ -500,6 +501,37 @@ def probe_candidates(spark, sf_dir):
     return lsh.probe_candidates(bands.where(F.col("notice_id") % PROBE_EVERY == 0), bands)
 
 
+def build_notice_index(spark, sf_dir, signed=None):
+    """The stored index of all notices, under a name of its own."""
+    signed = _signatures(spark, sf_dir) if signed is None else signed
+    return notice_index.build_index(signed, f"notices_{uuid.uuid4().hex}", BAND_ROWS, BANDS)
+
+
+def index_probes(signed):
+    return signed.where(F.col("notice_id") % PROBE_EVERY == 0).withColumnRenamed("notice_id", "probe_id")
+
+
+def index_build(spark, sf_dir):
+    """Rows and keys of the stored index."""
+    index = build_notice_index(spark, sf_dir)
+    members, bands, hot = (index.table(spark, part) for part in ("members", "bands", "hot"))
+    return members.agg(
+        F.lit("members").alias("table"), F.count("*").alias("rows"), F.countDistinct("class_id").alias("keys")
+    ).unionByName(
+        bands.unionByName(hot).agg(
+            F.lit("bands").alias("table"), F.count("*").alias("rows"), F.countDistinct("band_key").alias("keys")
+        )
+    )
+
+
+def index_probe(spark, sf_dir):
+    """Candidates, by content class, of every notice whose id is divisible by
+    ``PROBE_EVERY``, looked up in the stored index."""
+    signed = _signatures(spark, sf_dir)
+    index = build_notice_index(spark, sf_dir, signed)
+    return notice_index.lookup(spark, index, index_probes(signed))
+
+
 def bucket_work_sweep(spark, sf_dir):
     sweep = lsh.bands_of_configurations(_signatures(spark, sf_dir), SWEEP)
     return lsh.bucket_work(materialize(sweep, "sweep-bands")).withColumns(
@@ -507,9 +539,11 @@ def bucket_work_sweep(spark, sf_dir):
     )
 
 
-def _load(spark, sf_dir, bands=None):
-    bands = _bands(spark, sf_dir) if bands is None else bands
-    return candidates.candidate_load(data.notices(spark, sf_dir), bands, CAP)
+def _load(spark, sf_dir, signed=None, bands=None):
+    signed = _signatures(spark, sf_dir) if signed is None else signed
+    bands = data.bands(signed, BAND_ROWS, BANDS) if bands is None else bands
+    unsuppressed = candidates.distinct_candidates(signed, BAND_ROWS, BANDS)
+    return candidates.candidate_load(data.notices(spark, sf_dir), bands, unsuppressed, CAP)
 
 
 def _rounded_stats(stats):
@@ -540,7 +574,7 @@ def _survived(pairs, signed, bands):
 def mitigation_compare(spark, sf_dir):
     signed = _signatures(spark, sf_dir)
     bands = data.bands(signed, BAND_ROWS, BANDS)
-    stats = candidates.candidate_stats(_load(spark, sf_dir, bands))
+    stats = candidates.candidate_stats(_load(spark, sf_dir, signed, bands))
     survived = _survived(data.labelled_pairs(spark, sf_dir), signed, bands)
     return _rounded_stats(evaluate.mitigation_report(stats, survived))
 
@@ -580,7 +614,7 @@ QUERIES: dict[str, Query] = {
         example_pairs, minhash_md5_signature, minhash_signature, near_duplicate_candidates,
         near_duplicate_members, near_duplicate_buckets, candidate_members, candidate_buckets,
         minhash_estimate, pair_errors, estimator_error, lsh_bands, bucket_cap, lsh_candidates,
-        probe_candidates, bucket_work_sweep, candidate_stats, candidate_counts,
+        probe_candidates, index_build, index_probe, bucket_work_sweep, candidate_stats, candidate_counts,
         source_candidate_load, hottest_documents, mitigation_compare, labelled_survival,
         survival_by_bin,
     )
