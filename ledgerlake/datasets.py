@@ -35,15 +35,16 @@ def _store(supplier: str) -> Column:
     return F.concat(F.lit("S"), F.lpad(number, 2, "0"))
 
 
-def raw_lines(spark: SparkSession, sf_dir: str, monthly_files: bool = False) -> DataFrame:
-    """Till lines with re-sends, each with the name of the file it came in."""
+def raw_lines(spark: SparkSession, sf_dir: str, files: str = "day") -> DataFrame:
+    """Till lines with re-sends, each with the name of the file it came in: one per store
+    and day, ``month`` or ``year``."""
     flags = F.concat("l_returnflag", "l_linestatus")
     kind = (
         F.when(flags == "NO", "SALE").when(flags == "RF", "RETURN")
         .when(flags == "AF", "DISCOUNT").when(flags == "RO", "VOID")
         .when(flags == "AO", "TAX").otherwise("TENDER")
     )
-    day = F.trunc("l_shipdate", "month") if monthly_files else F.to_date("l_shipdate")
+    day = F.to_date("l_shipdate") if files == "day" else F.trunc("l_shipdate", files)
     control = (F.col("line_type") == "DISCOUNT") | (
         (F.col("line_type") == "VOID") & (F.col("l_linenumber") == 7)
     )

@@ -7,7 +7,7 @@ classes or, for the heaviest classes, from merged sketches. After suppression pa
 enough to be listed and counted.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.operators.lsh import (
     BUCKET, BUCKET_CAP, band_rows, content_classes, pairs_within, signature_class, sized_rows,
@@ -193,8 +193,13 @@ def portal_load(load: DataFrame) -> DataFrame:
     return per_portal.join(F.broadcast(totals), "stage").withColumn("share", share).drop("stage_work")
 
 
+def heaviest_first() -> list[Column]:
+    """Portals by their work, the name decides ties."""
+    return [F.desc("work_assignments"), F.asc("portal_id")]
+
+
 def heaviest_portal_first(load: DataFrame) -> DataFrame:
-    return load.orderBy(F.desc("work_assignments"), "portal_id")
+    return load.orderBy(*heaviest_first())
 
 
 def hottest_notices(load: DataFrame, top: int = HOTTEST) -> DataFrame:

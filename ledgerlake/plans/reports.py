@@ -75,9 +75,16 @@ def federated_revenue(
     )
 
 
+def category_and_product() -> list[Column]:
+    """The report's printing order, nulls last; the other columns make it total."""
+    return [
+        F.asc_nulls_last("category_name"), F.asc_nulls_last("product_name"),
+        F.asc("store_id"), F.asc("store_name"),
+    ]
+
+
 def by_category_and_product(report: DataFrame) -> DataFrame:
-    """The report's printing order, nulls last."""
-    return report.orderBy(F.asc_nulls_last("category_name"), F.asc_nulls_last("product_name"))
+    return report.orderBy(*category_and_product())
 
 
 def dashboard_revenue(

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlake import schemas
-from ledgerlake.operators.skew import lookup_join
+from ledgerlake.operators.ranking import dense_numbers
+from ledgerlake.operators.skew import BROADCAST_ROWS, fits_broadcast, lookup_join
 from ledgerlake.operators.temporal import newest_version_join
 
 _FACT_COLUMNS = (
@@ -42,12 +43,17 @@ def whole_years(rows: DataFrame, column: str = "business_date") -> DataFrame:
     )
 
 
-def numbered(masters: DataFrame, natural_key: str, name: str) -> DataFrame:
-    """Number a short master list by its natural key.
+def numbered(
+    masters: DataFrame, natural_key: str, name: str, max_single_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Number a master list by its natural key.
 
-    Ranking without a partition runs in one task: meant for stores and
-    categories, never for products or sales.
+    A list counted to be short is ranked in one task; a longer one by sorted ranges and
+    their offsets. Both give the same numbers.
     """
+    if not fits_broadcast(masters, max_single_rows):
+        found = dense_numbers(masters, [F.col(natural_key)], name)
+        return found.withColumn(name, F.col(name).cast("int"))
     order = Window.orderBy(natural_key)
     return masters.select(F.row_number().over(order).cast("int").alias(name), "*")
 

@@ -60,7 +60,7 @@ def conform(rows: DataFrame, dialect: Dialect, file: Column) -> DataFrame:
     )
 
 
-def read_dialect(spark: SparkSession, pattern: str, dialect: Dialect) -> DataFrame:
+def read_dialect(spark: SparkSession, pattern: str | list[str], dialect: Dialect) -> DataFrame:
     """Read the files of one dialect; a malformed row or another header fails the load.
 
     The base name, not the full path, orders files: an original sorts before its

@@ -13,7 +13,8 @@ from ledgerlake.operators.landing import land
 from ledgerlake.operators.minhash import (
     estimated_jaccard, portable_family, portable_wide_family, signature_size,
 )
-from ledgerlake.plans import publish, reconcile, reports, star
+from ledgerlake.operators.ranking import ordered
+from ledgerlake.plans import publish, reconcile, reload, reports, star
 from ledgerlake.session import materialize, shared_path
 from ledgerlake.sources import lake, masters, tills
 from ledgerlake.sources.notices import read_labelled_pairs, read_notices
@@ -32,6 +33,8 @@ ONE_PARTITION = ("S01", 1996, 10)
 ONE_PERIOD = (dt.date(1996, 11, 15), dt.date(1997, 2, 1))
 ONE_MONTH = (dt.date(1996, 3, 1), dt.date(1996, 4, 1))
 MARKERS = (" the ", " und ", " les ")
+# Lines that reach the partial reload as re-sends: one store's year, some of its bills.
+RESENT_FILES, RESENT_EVERY = "SALES_S02_1996", 7
 
 _LINE = ("store_id", "business_date", "bill_no", "line_no", "product_code", "qty",
          "unit_price", "line_type", "ts", "year", "month")
@@ -52,12 +55,9 @@ def land_union_dialects(spark, sf_dir):
     return land(data.till_lines(spark, sf_dir))
 
 
-def dialect_round_trip(spark, sf_dir):
-    """Write the lines as files of all three dialects, read and land them, and
-    read the lake back. One file per store and month keeps the file count fixed."""
-    folder = shared_path(spark, "tills")
-    raw = materialize(data.raw_lines(spark, sf_dir, monthly_files=True), "raw-lines")
-    for number, dialect in enumerate(tills.DIALECTS):
+def _write_exports(raw, folder):
+    """``raw`` lines as export files of all three dialects, each named by its ``file``."""
+    for dialect in tills.DIALECTS:
         rows = data.dialect_slice(raw, dialect)
         if dialect is tills.EPOCH:
             first, *others = dialect.schema.fieldNames()
@@ -65,22 +65,38 @@ def dialect_round_trip(spark, sf_dir):
             rows = rows.withColumnRenamed(first, "\ufeff" + first)
         (
             rows.repartition("file").withColumnRenamed("file", "export")
-            .write.partitionBy("export")
+            .write.mode("append").partitionBy("export")
             .option("header", True).option("sep", dialect.separator)
-            .csv(f"{folder}/{number}")
+            .csv(folder)
         )
-    parts = [
-        tills.read_dialect(
-            spark, f"{folder}/{number}/export=SALES_{dialect.stores}_*.csv", dialect
-        )
-        for number, dialect in enumerate(tills.DIALECTS)
-    ]
-    lines = land(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def dialect_round_trip(spark, sf_dir):
+    """Write the lines as files of all three dialects, read and land them, and
+    read the lake back. One file per store and month keeps the file count fixed."""
+    folder = shared_path(spark, "tills")
+    _write_exports(materialize(data.raw_lines(spark, sf_dir, files="month"), "raw-lines"), folder)
+    lines = land(tills.read_tills(spark, folder, "export="))
     path = shared_path(spark, "lake")
     lake.write_lake(lines, path)
     return lake.read_lake(spark, path).select(*_LINE)
 
 
+def partial_reload(spark, sf_dir):
+    """Load exports without some lines, let these arrive as re-sends, reload what changed,
+    and give the checksum of every partition."""
+    folder, root = shared_path(spark, "tills"), shared_path(spark, "reloaded")
+    raw = materialize(data.raw_lines(spark, sf_dir, files="year"), "raw-lines")
+    held = F.col("file").startswith(RESENT_FILES) & (F.col("bill_no").cast("long") % RESENT_EVERY == 0)
+    _write_exports(raw.where(~held), folder)
+    reload.reload(spark, folder, root, "export=")
+    resent = raw.where(held).withColumn("file", F.replace("file", F.lit(".csv"), F.lit("__R1.csv")))
+    _write_exports(resent, folder)
+    reload.reload(spark, folder, root, "export=")
+    checksums = reload.partition_checksums(reload.read_reloaded(spark, root), quality.portable_row_hash)
+    return checksums.withColumn("checksum", F.col("checksum").cast("string"))
+
+
 def staged_publish(spark, sf_dir):
     """Publish the landing, publish it again, and read the log of both runs."""
     root = shared_path(spark, "published")
@@ -206,6 +222,11 @@ def federated_category_revenue(spark, sf_dir):
     )
 
 
+def federated_report_ordered(spark, sf_dir):
+    """The report in its printing order, written and read back with its positions."""
+    return ordered(federated_category_revenue(spark, sf_dir), reports.category_and_product())
+
+
 def finance_reconciliation(spark, sf_dir):
     lines = materialize(data.landed_lines(spark, sf_dir), "landed")
     pipeline = reconcile.monthly_revenue(data.fact(spark, sf_dir, data.missing_exports(lines)))
@@ -563,6 +584,12 @@ def source_candidate_load(spark, sf_dir):
     return candidates.portal_load(_load(spark, sf_dir)).withColumns(_round("share"))
 
 
+def portal_load_ordered(spark, sf_dir):
+    """Portals by their work after suppression, written and read back with positions."""
+    load = candidates.portal_load(_load(spark, sf_dir)).where("stage = 'after'")
+    return ordered(load.withColumns(_round("share")), candidates.heaviest_first())
+
+
 def hottest_documents(spark, sf_dir):
     return candidates.hottest_notices(_load(spark, sf_dir))
 
@@ -607,7 +634,8 @@ QUERIES: dict[str, Query] = {
         row_checksum, partition_revenue, daily_store_revenue, dim_date, dim_surrogate_key,
         dim_product, product_validity_join, fact_sales_line, dashboard_revenue, fact_integrity,
         reissued_codes, table_counts, master_checks, historical_price_report,
-        federated_category_revenue, finance_reconciliation, pruned_partition_revenue,
+        federated_category_revenue, federated_report_ordered, portal_load_ordered, partial_reload,
+        finance_reconciliation, pruned_partition_revenue,
         store_period_revenue, federated_lake_revenue, price_function_sql, finance_file,
         label_file, notice_shards, manifest_checksum, normalized_tokens,
         marker_slice_tokens, shingle_sets, avg_shingles, pair_jaccard, conservative_threshold,
