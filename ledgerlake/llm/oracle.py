@@ -40,9 +40,10 @@ candidates AS (
     WHEN 3 THEN regexp_matches(secret, '[a-z]') AND regexp_matches(secret, '[A-Z]')
       AND len(regexp_extract_all(secret, '[0-9]')) >= 3 ELSE true END),
 owners AS (
-  SELECT secret, count(DISTINCT coalesce(source, '')) AS n FROM candidates GROUP BY secret),
+  SELECT secret, count(DISTINCT coalesce(source, '')) AS n, count(DISTINCT doc_id) AS repositories
+  FROM candidates GROUP BY secret),
 judged AS (
-  SELECT c.*, CASE WHEN n >= {scan.COPIED_OWNERS} THEN 'copied'
+  SELECT c.*, CASE WHEN n >= {scan.COPIED_OWNERS} OR repositories >= {scan.COPIED_REPOSITORIES} THEN 'copied'
       WHEN n = 1 AND length(secret) >= {scan.LIVE_CHARS}
         AND len(list_distinct(string_split(secret, ''))) >= {scan.LIVE_DISTINCT} THEN 'live'
       ELSE 'unclear' END AS verdict

@@ -17,7 +17,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
 
-def op1_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+def secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts behind the verdicts of ``op1_secret_scan``, one row per span."""
     return secret_scan.secret_ownership(table(spark, sf_dir, "documents"))
 
@@ -78,7 +78,7 @@ def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
-    "op1_secret_ownership": op1_secret_ownership,
+    "secret_ownership": secret_ownership,
     "op2_line_dedup": op2_line_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,

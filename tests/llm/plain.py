@@ -96,7 +96,7 @@ def leaks(docs, items, window=13, equal=11):
     for doc_id, text in docs:
         own = code(tokens(text))
         for item_id, item in coded:
-            if len(item) < 5 or np.isin(item, own).sum() < min(equal, len(item)):
+            if not len(item) or np.isin(item, own).sum() < min(equal, len(item)):
                 continue
             pad = np.full(len(item), -1)
             whole = np.concatenate((pad, own, pad))
