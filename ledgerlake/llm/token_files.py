@@ -146,6 +146,18 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def _order_by_pair(pairs: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """An order in which equal pairs are together: by 40 bits of their hash, which sorts
+    faster than the pairs do, unless two different pairs share them."""
+    if len(pairs) < 1 << 24:
+        mixed = np.sort(hashes.view(np.uint64) >> np.uint64(24) << np.uint64(24) | np.arange(len(pairs), dtype=np.uint64))
+        order = (mixed & np.uint64((1 << 24) - 1)).astype(np.int64)
+        ordered, mixed = pairs[order], mixed >> np.uint64(24)
+        if not ((mixed[1:] == mixed[:-1]) & (ordered[1:] != ordered[:-1])).any():
+            return order
+    return np.argsort(pairs)
+
+
 def re_pair(
     ids: np.ndarray, stops: np.ndarray, base: int, min_pairs: int = MIN_PAIRS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,32 +173,37 @@ def re_pair(
     rounds look at the places next to replaced ones and at pairs that are still frequent.
     """
     min_pairs = max(min_pairs, 2)
+    size = len(ids)
     symbols = ids.astype(np.int64)
-    last = np.zeros(len(symbols), bool)
+    last = np.zeros(size, bool)
     last[stops[stops > np.concatenate(([0], stops[:-1]))] - 1] = True
+    # Replaced symbols stay where they are; the places before and after are linked.
+    after, before = np.arange(1, size + 1), np.arange(-1, size)
+    alive = np.ones(size, bool)
+    weight = np.zeros(size + 2, np.int64)
     rules: list[np.ndarray] = []
     top = base
     open_places = ~last
     while True:
         places = np.flatnonzero(open_places)
-        pairs = symbols[places] << 32 | symbols[places + 1]
+        second = after[places]
+        pairs = symbols[places] << 32 | symbols[second]
         # Counts by hash slot bound each pair's count, so most places are out at once.
         hashes = pairs * 0x9E3779B97F4A7C1
         slots = (hashes >> 40) & (SLOTS - 1)
         some = (np.bincount(slots, minlength=SLOTS) >= min_pairs)[slots]
         open_places[places[~some]] = False
-        places, pairs, hashes = places[some], pairs[some], hashes[some]
+        places, second, pairs, hashes = places[some], second[some], pairs[some], hashes[some]
         # A symbol that repeats gives a run of one pair: only every other place counts.
-        same = pairs >> 32 == pairs & 0xFFFFFFFF
-        if same.any():
-            run = np.flatnonzero(same)
-            opens = np.diff(places[run], prepend=-2) != 1
-            opens[1:] |= pairs[run[1:]] != pairs[run[:-1]]
+        run = np.flatnonzero(pairs >> 32 == pairs & 0xFFFFFFFF)
+        if len(run):
+            opens = np.ones(len(run), bool)
+            opens[1:] = (places[run[1:]] != second[run[:-1]]) | (pairs[run[1:]] != pairs[run[:-1]])
             start = np.flatnonzero(opens)[np.cumsum(opens) - 1]
             keep = np.ones(len(places), bool)
             keep[run[(np.arange(len(run)) - start) % 2 == 1]] = False
-            places, pairs, hashes = places[keep], pairs[keep], hashes[keep]
-        order = np.argsort(pairs)
+            places, second, pairs, hashes = places[keep], second[keep], pairs[keep], hashes[keep]
+        order = _order_by_pair(pairs, hashes)
         ordered = pairs[order]
         heads = np.flatnonzero(np.diff(ordered, prepend=-1))
         counts = np.diff(np.append(heads, len(ordered)))
@@ -197,11 +214,11 @@ def re_pair(
         rule[order] = np.repeat(np.arange(len(counts)), counts)
         hit = often[rule]
         open_places[places[~hit]] = False
-        places, rule, hashes = places[hit], rule[hit], hashes[hit]
-        weight = np.zeros(len(symbols) + 2, np.int64)
-        weight[places + 1] = counts[rule] << 30 | (hashes >> 20) & (1 << 30) - 1
-        here = weight[places + 1]
-        won = (weight[places] < here) & (weight[places + 2] <= here)
+        places, second, rule, hashes = places[hit], second[hit], rule[hit], hashes[hit]
+        here = counts[rule] << 30 | (hashes >> 20) & (1 << 30) - 1
+        weight[places + 1] = here
+        won = (weight[before[places] + 1] < here) & (weight[second + 1] <= here)
+        weight[places + 1] = 0
         done = np.bincount(rule[won], minlength=len(counts))
         # The pair of the greatest weight loses no place, so each round makes a rule.
         made = done >= min_pairs
@@ -212,21 +229,20 @@ def re_pair(
         keys = ordered[heads[made]]
         rules.append(np.stack((keys >> 32, keys & 0xFFFFFFFF), axis=1))
         top += len(keys)
-        at = places[won]
+        at, gone = places[won], second[won]
         symbols[at] = names[rule[won]]
-        last[at] = last[at + 1]
+        last[at] = last[gone]
+        alive[gone] = False
+        follow = after[gone]
+        after[at] = follow
+        before[follow] = at
         # The pairs before and after a new symbol are new.
-        open_places[at] = True
-        before = at[at > 0] - 1
-        open_places[before] = True
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        open_places[at + 1] = False
-        # The symbol before a new one may itself have been merged away.
-        merged = before[~keep[before]]
-        open_places[merged - 1] = True
-        symbols, last, open_places = symbols[keep], last[keep], open_places[keep]
-        open_places &= ~last
+        open_places[gone] = False
+        open_places[at] = ~last[at]
+        earlier = before[at]
+        earlier = earlier[earlier >= 0]
+        open_places[earlier] = ~last[earlier]
+    symbols, last = symbols[alive], last[alive]
     made_rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     ends = np.flatnonzero(last) + 1
     # Documents without ids end where the one before does.
