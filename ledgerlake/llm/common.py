@@ -30,7 +30,7 @@ def workers_import(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
 
 
-def bound_batches(spark: SparkSession, rows: int = 1_000, size: str = "8m") -> None:
+def bound_batches(spark: SparkSession, rows: int = 250, size: str = "2m") -> None:
     """Let the session send at most so many rows and bytes to Python at a time.
 
     A session with its defaults sends 10,000 whole texts, and a worker keeps the memory
