@@ -10,7 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.operators.percentiles import percentiles
-from ledgerlake.operators.skew import HOT_ROWS, TASK_PAIRS, split_join, with_group_size
+from ledgerlake.operators.skew import (
+    HOT_ROWS, TASK_PAIRS, lookup_join, split_join, with_group_size,
+)
 from ledgerlake.session import materialize
 
 BUCKET = ("band_no", "band_hash")
@@ -126,27 +128,97 @@ def probe_candidates(
     return found.select("probe_id", "notice_id").distinct()
 
 
+def nested_band_hashes(
+    signed: DataFrame, configurations: Sequence[tuple[int, int]] = SWEEP
+) -> DataFrame:
+    """``signed`` with one array of band hashes ``hashes_<rows>`` per (rows, bands) setting.
+
+    A hash tree: a band that consists of whole bands of a narrower setting is hashed from
+    their hashes, so nested settings read each lane once. Bands are equal if and only if
+    their lanes are, as with :func:`band_hashes`.
+    """
+    done: list[tuple[int, int]] = []
+    for rows, bands in sorted(configurations):
+        inner = [r for r, n in done if rows % r == 0 and n * r >= rows * bands]
+        if inner:
+            times, children = rows // inner[-1], F.col(_hashes(inner[-1]))
+            hashes = F.transform(
+                F.sequence(F.lit(0), F.lit(bands - 1)),
+                lambda band: F.unhex(F.md5(F.concat(
+                    *(F.get(children, band * times + at) for at in range(times))
+                ))),
+            )
+        else:
+            hashes = band_hashes(F.col("signature"), rows, bands)
+        signed = signed.withColumn(_hashes(rows), hashes)
+        done.append((rows, bands))
+    return signed
+
+
+def _hashes(rows: int) -> str:
+    return f"hashes_{rows}"
+
+
+def _band_rows_of(
+    hashed: DataFrame, configurations: Sequence[tuple[int, int]], *names: str
+) -> DataFrame:
+    """One row per setting and band of :func:`nested_band_hashes`, with columns ``names``."""
+    settings = F.array(*(
+        F.struct(F.lit(rows).alias("band_rows"), F.col(_hashes(rows)).alias("hashes"))
+        for rows, _ in configurations
+    ))
+    return hashed.select(*names, F.explode(settings).alias("setting")).select(
+        *names, F.col("setting.band_rows").alias("band_rows"),
+        F.posexplode("setting.hashes").alias("band_no", "band_hash"),
+    )
+
+
 def bands_of_configurations(
     signatures: DataFrame, configurations: Sequence[tuple[int, int]] = SWEEP
 ) -> DataFrame:
     """Band rows of several (rows, bands) settings in one table."""
-    settings = F.array(
-        *[
-            F.struct(
-                F.lit(rows).alias("band_rows"),
-                band_hashes(F.col("signature"), rows, bands).alias("hashes"),
-            )
-            for rows, bands in configurations
-        ]
+    signed = signatures.where(F.col("signature").isNotNull())
+    return _band_rows_of(nested_band_hashes(signed, configurations), configurations, "notice_id")
+
+
+def sweep_work(
+    signatures: DataFrame, configurations: Sequence[tuple[int, int]] = SWEEP,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """:func:`bucket_work` of several settings, from signatures.
+
+    Equal signatures are one class with a number of copies. Buckets are sized from class
+    rows, and only buckets of two notices or more are joined back, so both sides of that
+    join grow with shared bands of different texts. No signature gives no row.
+    """
+    signed = signatures.where(F.col("signature").isNotNull()).select(
+        "notice_id", signature_class().alias("class_id"), "signature"
     )
-    each = signatures.where(F.col("signature").isNotNull()).select(
-        "notice_id", F.explode(settings).alias("setting")
+    classes = signed.groupBy("class_id").agg(
+        F.any_value("signature").alias("signature"), F.count("*").alias("copies")
     )
-    return each.select(
-        "notice_id",
-        F.col("setting.band_rows").alias("band_rows"),
-        F.posexplode("setting.hashes").alias("band_no", "band_hash"),
+    hashed = nested_band_hashes(classes, configurations)
+    names = [_hashes(rows) for rows, _ in configurations]
+    hashed = materialize(hashed.select("class_id", "copies", *names), "band-hashes")
+    bands = _band_rows_of(hashed, configurations, "class_id", "copies")
+    keys = ("band_rows", *BUCKET)
+    shared = bands.groupBy(*keys).agg(F.sum("copies").alias("bucket_size"))
+    shared = materialize(shared.where("bucket_size > 1"), "shared-buckets")
+    sized = lookup_join(
+        bands, shared, keys, "inner", hot_rows=hot_rows, hot_from=bands.select(*keys),
+        spread_by=["class_id"],
     )
+    work = sized.groupBy("band_rows", "class_id").agg(F.sum(F.col("bucket_size") - 1).alias("work"))
+    settings = F.array(*(
+        F.struct(F.lit(rows).alias("band_rows"), F.lit(bands).cast("long").alias("bands"))
+        for rows, bands in configurations
+    ))
+    notices = signed.select("notice_id", "class_id", F.inline(settings))
+    per_notice = lookup_join(
+        notices, materialize(work, "class-work"), ["band_rows", "class_id"], hot_rows=hot_rows,
+        spread_by=["notice_id"],
+    ).withColumn("work", F.coalesce("work", F.lit(0)))
+    return _work_totals(materialize(per_notice.drop("class_id"), "bucket-work"))
 
 
 def bucket_work(sweep_bands: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -160,7 +232,10 @@ def bucket_work(sweep_bands: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     per_notice = sized.groupBy("band_rows", "notice_id").agg(
         F.sum(F.col("bucket_size") - 1).alias("work"), F.count("*").alias("bands")
     )
-    per_notice = materialize(per_notice, "bucket-work")
+    return _work_totals(materialize(per_notice, "bucket-work"))
+
+
+def _work_totals(per_notice: DataFrame) -> DataFrame:
     ranks = percentiles(per_notice, "work", ["band_rows"])
     totals = per_notice.groupBy("band_rows").agg(
         F.max("bands").alias("bands"),

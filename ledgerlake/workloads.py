@@ -554,10 +554,7 @@ def index_probe(spark, sf_dir):
 
 
 def bucket_work_sweep(spark, sf_dir):
-    sweep = lsh.bands_of_configurations(_signatures(spark, sf_dir), SWEEP)
-    return lsh.bucket_work(materialize(sweep, "sweep-bands")).withColumns(
-        _round("average_work")
-    )
+    return lsh.sweep_work(_signatures(spark, sf_dir), SWEEP).withColumns(_round("average_work"))
 
 
 def _load(spark, sf_dir, signed=None, bands=None):

@@ -211,6 +211,35 @@ def test_bands_cover_the_signature(spark):
     assert as_set(sweep.where("band_rows = 3"), "notice_id", "band_no", "band_hash") == as_set(bands)
 
 
+def test_sweep_of_classes_equals_the_work_of_every_notice(spark):
+    chance = random.Random(3)
+    texts = [[chance.choice([1, 2]) for _ in range(12)] for _ in range(40)]
+    texts += [texts[0]] * 30 + [list(range(12)), None]
+    signed = spark.createDataFrame(list(enumerate(texts)), "notice_id int, signature array<long>")
+    settings = ((2, 6), (3, 4), (4, 3), (6, 2), (5, 2))
+    want = set()
+    for rows, bands in settings:
+        cut = {n: [tuple(t[b * rows:(b + 1) * rows]) for b in range(bands)] for n, t in enumerate(texts) if t}
+        sizes = Counter((at, band) for found in cut.values() for at, band in enumerate(found))
+        work = sorted(sum(sizes[key] - 1 for key in enumerate(found)) for found in cut.values())
+        want.add((rows, bands, sum(work) // 2, round(sum(work) / len(work), 6), work[-1], work[ceil(0.95 * len(work)) - 1]))
+
+    def found(table):
+        columns = "band_rows", "bands", "bucket_pair_hits", "average_work", "max_work", "p95_work"
+        return as_set(table.withColumn("average_work", F.round("average_work", 6)), *columns)
+
+    for hot_rows in (10**6, 5):
+        assert found(lsh.sweep_work(signed, settings, hot_rows)) == want
+    assert found(lsh.bucket_work(materialize(lsh.bands_of_configurations(signed, settings), "test"))) == want
+    assert lsh.sweep_work(signed.where("signature is null"), settings).count() == 0
+
+
+def test_nested_bands_read_a_lane_once(spark):
+    signed = spark.createDataFrame([(1, list(range(738)))], "notice_id int, signature array<long>")
+    plan = lsh.bands_of_configurations(signed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("slice(signature") == 1
+
+
 def test_load_reports(spark):
     rows = [("after", n, "P1" if n < 15 else "P2", n, n) for n in range(20)]
     rows += [("before", n, "P1", 2 * n, None) for n in range(3)]
