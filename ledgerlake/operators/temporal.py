@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlake.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup_join
 from ledgerlake.session import materialize
 
+# Versions of one key that each row of the key may be compared with.
+BIN_VERSIONS = 32
+_BIN = "validity_month"
 
 def validity_join(
     rows: DataFrame,
@@ -18,15 +21,50 @@ def validity_join(
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
     version_rows: int | None = None,
+    key_versions: int | None = None,
+    bin_versions: int = BIN_VERSIONS,
 ) -> DataFrame:
     """Left join on an equal key and a date inside the version's closed interval.
 
-    Rows without a version stay with nulls; a row inside two versions comes twice.
+    Rows without a version stay with nulls; a row inside two versions comes twice. If a
+    key has more than ``bin_versions`` versions, both sides meet by (key, month) and the
+    exact interval is checked once, so a row is compared only with versions of its month.
+    A version is repeated for each month that it shares with the dates of ``rows``.
+    ``version_rows`` is the size of ``versions`` where the caller has counted it, and
+    ``key_versions`` the largest number of versions of a key.
     """
     inside: Column = F.col(on).between(F.col(start), F.col(end))
-    return lookup_join(
-        rows, versions, [key], "left", inside, max_broadcast_rows, hot_rows, version_rows
+    if version_rows is None or key_versions is None:
+        version_rows, key_versions = version_counts(versions, key)
+    if key_versions <= bin_versions:
+        return lookup_join(
+            rows, versions, [key], "left", inside, max_broadcast_rows, hot_rows, version_rows
+        )
+    first, last = rows.agg(F.min(_month(on)), F.max(_month(on))).first()
+    months = F.sequence(
+        F.greatest(_month(start), F.lit(first)), F.least(_month(end), F.lit(last))
     )
+    # A null or empty interval, or one outside all dates, holds no row.
+    shared = (
+        (F.col(start) <= F.col(end)) & (_month(start) <= F.lit(last)) & (_month(end) >= F.lit(first))
+    )
+    binned = versions.where(shared).withColumn(_BIN, F.explode(F.when(shared, months)))
+    joined = lookup_join(
+        rows.withColumn(_BIN, _month(on)), binned, [key, _BIN], "left", inside,
+        max_broadcast_rows, hot_rows,
+    )
+    return joined.drop(_BIN)
+
+
+def version_counts(versions: DataFrame, key: str) -> tuple[int, int]:
+    """Number of versions, and the largest number of one key."""
+    each = versions.groupBy(key).agg(F.count("*").alias("n"), F.count(key).alias("named"))
+    found = each.agg(F.sum("n"), F.max("named")).first()
+    return found[0] or 0, found[1] or 0
+
+
+def _month(day: str) -> Column:
+    return F.year(day) * 12 + F.month(day)
 
 
 def newest_segments(
@@ -67,6 +105,4 @@ def newest_version_join(
 ) -> DataFrame:
     """``validity_join`` that gives each row the newest matching version only."""
     segments = materialize(newest_segments(versions, key, start, end, tie_break), "versions")
-    return validity_join(
-        rows, segments, key, on, start, end, max_broadcast_rows, hot_rows, segments.count()
-    )
+    return validity_join(rows, segments, key, on, start, end, max_broadcast_rows, hot_rows)

@@ -153,3 +153,69 @@ def test_percentiles_equal_sorting_all_values(spark, count):
         assert abs(got[group].interpolated - between) < 1e-6
     whole = percentiles(df, "v").first()
     assert whole.nearest_rank == sorted(v for _, v in rows)[ceil(0.95 * len(rows)) - 1]
+
+
+def test_percentiles_of_a_million_doubles_rank_a_chunk_only(spark):
+    total = 1_000_000
+    # Distinct doubles: an odd factor permutes the numbers below 2^20.
+    value = (F.pmod(F.col("id") * 386_093, F.lit(1 << 20)) / 7).alias("v")
+    df = spark.range(total).select(F.lit("g").alias("g"), value)
+    values = sorted((n * 386_093 % (1 << 20)) / 7 for n in range(total))
+    for fraction in (0.0, 0.5, 0.95, 1.0):
+        found = percentiles(df, "v", ["g"], fraction).first()
+        position = fraction * (total - 1)
+        low = int(position)
+        high = min(low + 1, total - 1)
+        assert found.nearest_rank == values[max(ceil(fraction * total), 1) - 1]
+        between = values[low] + (values[high] - values[low]) * (position - low)
+        assert abs(found.interpolated - between) < 1e-6
+
+
+def test_percentiles_window_over_chunks(spark):
+    df = spark.range(100).select(F.lit("g").alias("g"), F.col("id").alias("v"))
+    plan = percentiles(df, "v", ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window " in line]
+    assert windows and all("chunk" in line for line in windows)
+
+
+@pytest.mark.parametrize("max_rows", [10**6, 0])
+def test_binned_versions_equal_pair_by_pair(spark, max_rows):
+    chance = random.Random(5)
+    first = D(2023, 1, 1)
+    rows = [(None, 900, first, D(9999, 12, 31)), ("P1", 901, None, D(2023, 5, 1)), ("P1", 902, first, None),
+            ("P1", 903, D(2023, 3, 2), D(2023, 3, 1)), ("P1", 904, D(2023, 2, 1), D(9999, 12, 31)),
+            ("P1", 905, D(1990, 1, 1), D(1990, 2, 1)), ("P1", 906, D(1990, 1, 1), D(2023, 1, 1))]
+    for sk in range(80):
+        start = first + timedelta(chance.randrange(300))
+        rows.append((f"P{sk % 2}", sk, start, start + timedelta(chance.randrange(70))))
+    versions = spark.createDataFrame(rows, "code string, sk int, starts date, ends date")
+    lines = [(n, chance.choice(["P0", "P1", "P2", None]), first + timedelta(chance.randrange(400))) for n in range(300)]
+    lines.append((300, "P1", None))
+    sales = spark.createDataFrame(lines, "line int, code string, day date")
+    args = (sales, versions, "code", "day", "starts", "ends", max_rows, 50)
+    binned = validity_join(*args, bin_versions=2)
+    assert binned.columns == ["line", "code", "day", "sk", "starts", "ends"]
+    want = Counter()
+    for line, code, day in lines:
+        valid = [sk for c, sk, s, e in rows if None not in (code, day, s, e) and c == code and s <= day <= e]
+        want.update((line, sk) for sk in valid or [None])
+    assert Counter((r.line, r.sk) for r in binned.collect()) == want
+    assert Counter((r.line, r.sk) for r in validity_join(*args, bin_versions=10**6).collect()) == want
+    none = validity_join(sales.where("false"), versions, "code", "day", "starts", "ends", max_rows, 50, bin_versions=2)
+    assert none.count() == 0
+
+
+@pytest.mark.parametrize("max_rows", [10**6, 0])
+def test_a_key_of_many_versions_compares_by_month(spark, max_rows):
+    start = F.date_add(F.lit(D(1995, 1, 1)), F.col("id").cast("int"))
+    versions = spark.range(10_000).select(
+        F.lit("P").alias("code"), F.col("id").alias("sk"), start.alias("starts"), start.alias("ends")
+    )
+    sales = spark.range(100_000).select(
+        F.lit("P").alias("code"), F.col("id").alias("line"),
+        F.date_add(F.lit(D(1995, 1, 1)), F.pmod("id", F.lit(10_000)).cast("int")).alias("day"),
+    )
+    joined = validity_join(sales, versions, "code", "day", "starts", "ends", max_rows, 1000)
+    wrong = joined.where("sk is null or sk <> line % 10000")
+    assert joined.count() == 100_000 and wrong.isEmpty()
+    assert "validity_month" in joined._jdf.queryExecution().optimizedPlan().toString()
