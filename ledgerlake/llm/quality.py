@@ -82,8 +82,17 @@ def ratings(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", grade.alias("target"))
 
 
+def checked(rated: DataFrame) -> DataFrame:
+    """``rated``, where a grade that is no whole number from 0 to 2 raises an error."""
+    grade = F.col("target")
+    known = grade.isNull() | grade.isin(list(range(GRADES)))
+    return rated.select("doc_id", F.when(known, grade).otherwise(
+        F.raise_error(F.concat(F.lit("grade outside 0 to 2: "), grade.cast("string")))
+    ).cast("int").alias("target"))
+
+
 def train(docs: DataFrame, rated: DataFrame, per_class: int = PER_CLASS) -> np.ndarray:
-    sample = labelled_sample(docs, rated, per_class)
+    sample = labelled_sample(docs, checked(rated), per_class)
     start = np.zeros((1 << BITS) + GRADES - 1)
     start[1 << BITS] = -0.5
     return fit(sample, start, learn, ROUNDS)
@@ -103,8 +112,8 @@ def score_quality(
     """``doc_id``, ``held_out``, ``expected_grade``, ``tails`` and ``kept`` of each row.
 
     ``tails[k - 1]`` is P(grade >= k); a row is kept if that of ``min_grade`` is at least
-    ``min_tail``. ``rated(doc_id, target)`` holds grades from 0 to 2; rows whose id's
-    checksum is divisible by 5, and null ids, are not learned from. Null text reads as
+    ``min_tail``. ``rated(doc_id, target)`` holds grades from 0 to 2, any other
+    raises an error and null is ignored; rows whose id's checksum is divisible by 5, and null ids, are not learned from. Null text reads as
     empty text. Without ratings the scores come from the start values. Equal texts get
     equal results; texts are read whole. Other columns are not looked at.
     """

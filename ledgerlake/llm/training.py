@@ -12,6 +12,8 @@ from ledgerlake.session import materialize
 
 # Labelled documents of one class that a model is fitted on: the documented bound.
 PER_CLASS = 4000
+# Most targets of a model, since each is a part of the sample of its own.
+MAX_CLASSES = 64
 # Documents that learn together; with two or three classes there are at most 12 parts.
 PART_DOCS = 1000
 FOLDS = 5
@@ -33,6 +35,7 @@ def labelled_sample(docs: DataFrame, targets: DataFrame, per_class: int = PER_CL
     ``targets(doc_id, target)`` may repeat ids (the largest target counts), hold nulls
     or ids without a document (ignored). The choice follows a hash of the id, so it is
     the same in every run. Only the chosen ids, whose number is bounded, are broadcast.
+    More than ``MAX_CLASSES`` different targets are an error.
     """
     known = (
         targets.where("doc_id is not null and target is not null")
@@ -41,7 +44,12 @@ def labelled_sample(docs: DataFrame, targets: DataFrame, per_class: int = PER_CL
         .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     )
     known = materialize(known, "targets")
-    classes = [row.target for row in known.select("target").distinct().orderBy("target").limit(64).collect()]
+    classes = [
+        row.target
+        for row in known.select("target").distinct().orderBy("target").limit(MAX_CLASSES + 1).collect()
+    ]
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} different targets")
     chosen = None
     for target in classes:
         part = known.where(F.col("target") == target).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
