@@ -162,7 +162,8 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         .join(linked.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("root", F.coalesce("root", "class"))
     )
-    owner = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    # Stored, so that both sides of the join below are shuffled and Spark can split a hub.
+    owner = materialize(rooted.groupBy("root").agg(F.min("smallest").alias("component_id")), "owners")
     named = materialize(
         rooted.join(owner, "root").select(
             "class", "component_id",

@@ -152,7 +152,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = classes.join(linked, classes["fp"] == linked["node"], "left").select(
         "fp", "smallest", F.coalesce("root", "fp").alias("root")
     )
-    owner = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    # Stored, so that both sides of the join below are shuffled and Spark can split a hub.
+    owner = materialize(rooted.groupBy("root").agg(F.min("smallest").alias("component_id")), "owners")
     named = materialize(rooted.join(owner, "root").select("fp", "component_id"), "components")
     return signed.join(named, "fp").select("doc_id", "version", "fp", "component_id")
 
