@@ -71,21 +71,26 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return rows.join(names, key.eqNullSafe(F.col("owner")), "left_anti").select("row.*")
 
 
-def in_blocks(
-    members: DataFrame, bucket: str, member: str, block_rows: int = BLOCK_ROWS
+def bucket_sizes(members: DataFrame, bucket: str) -> DataFrame:
+    """``(bucket, bucket_size)`` of the buckets with two members or more.
+
+    A stored table: joined back to the members, both sides are shuffled as they are and
+    Spark can split a hot bucket.
+    """
+    counted = members.groupBy(bucket).agg(F.count("*").alias("bucket_size"))
+    return materialize(counted.where(F.col("bucket_size") > 1), "bucket-sizes")
+
+
+def blocks_of(
+    members: DataFrame, sizes: DataFrame, bucket: str, member: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Rows of buckets with two members or more, dealt into bounded comparison groups.
+    """Rows of the buckets named by ``sizes``, dealt into bounded comparison groups.
 
-    ``members`` has one row per bucket and member and is read twice: pass a stored
-    table. A bucket above ``block_rows`` is cut into blocks by a hash of the member,
-    and every two blocks meet in a group of their own, so each pair of the bucket
-    meets in exactly one group and no group exceeds about two blocks. Adds ``block``
-    and the group's ``left_block`` and ``right_block``. Rows of singleton buckets go.
+    A bucket above ``block_rows`` is cut into blocks by a hash of the member, and every two
+    blocks meet in a group of their own, so each pair of the bucket meets in exactly one
+    group and no group exceeds about two blocks. A member is repeated once per block of its
+    bucket. Adds ``block`` and the group's ``left_block`` and ``right_block``.
     """
-    sizes = (
-        members.groupBy(bucket).agg(F.count("*").alias("bucket_size"))
-        .where(F.col("bucket_size") > 1)
-    )
     blocks = F.ceil(F.col("bucket_size") / F.lit(block_rows)).cast("int")
     sized = members.join(sizes, bucket).withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64(F.lit("block"), F.col(member)), F.col("blocks")).cast("int")
@@ -99,6 +104,16 @@ def in_blocks(
     )
 
 
+def in_blocks(
+    members: DataFrame, bucket: str, member: str, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """All buckets of ``members`` by :func:`blocks_of`; rows of singleton buckets go.
+
+    ``members`` has one row per bucket and member and is read twice: pass a stored table.
+    """
+    return blocks_of(members, bucket_sizes(members, bucket), bucket, member, block_rows)
+
+
 def dealt(groups: DataFrame, bucket: str) -> DataFrame:
     """Each comparison group contiguous inside one partition, for :func:`groups_of`."""
     keys = [bucket, "left_block", "right_block"]

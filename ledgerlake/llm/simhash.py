@@ -7,10 +7,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ledgerlake.llm import common
 from ledgerlake.llm.common import (
-    components, dealt, groups_of, in_blocks, local_roots, without, workers_import,
+    blocks_of, bucket_sizes, components, dealt, groups_of, local_roots, without, workers_import,
 )
 from ledgerlake.session import materialize
 
@@ -20,6 +21,10 @@ MAX_BITS = 4
 BYTES = 8
 # Fingerprints at most 4 bits apart agree in at least 4 of their 8 bytes.
 MIN_SHARED = BYTES - MAX_BITS
+# Fingerprints under three shared bytes that are compared at once; beyond, a fourth byte splits them.
+CROWDED_ROWS = common.BLOCK_ROWS
+# Fingerprints under four shared bytes that are compared in blocks; beyond, they meet halfway.
+DENSE_ROWS = 16 * common.BLOCK_ROWS
 
 
 def postings() -> list[tuple[int, int, int]]:
@@ -121,14 +126,90 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _signed(word: int) -> int:
+    return word - (1 << 64) if word >> 63 else word
+
+
+def _byte_masks(count: int) -> list[int]:
+    """Masks that keep so many of the eight bytes, as signed words."""
+    return [
+        _signed(sum(0xFF << 8 * at for at in kept)) for kept in combinations(range(BYTES), count)
+    ]
+
+
+def halfway_links(fps: DataFrame) -> DataFrame:
+    """Edges that connect the fingerprints ``fps(fp)`` exactly as all links of 4 bits would.
+
+    Two words are at most 4 bits apart if, and only if, some word is at most 2 bits from
+    both. Each fingerprint names the 2,081 words that near, and those that name a word form
+    a star around the smallest of them. Rows are linear in the fingerprints, however alike
+    they are, and no word is named more than 2,081 times.
+    """
+    flips = [
+        _signed(sum(1 << bit for bit in bits))
+        for size in range(MAX_BITS // 2 + 1) for bits in combinations(range(8 * BYTES), size)
+    ]
+    near = F.transform(F.lit(flips), lambda flip: F.col("fp").bitwiseXOR(flip))
+    named = fps.select("fp", F.explode(near).alias("word"))
+    smallest = F.min("fp").over(Window.partitionBy("word"))
+    return named.select(F.col("fp").alias("a"), smallest.alias("b")).where("a <> b").distinct()
+
+
+def links(classes: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` that connect the distinct fingerprints ``classes(fp)`` as their links do.
+
+    Classes meet under three shared bytes (:func:`postings`), where pairs are tallied and
+    verified. Every link shares a fourth byte, so crowded postings are cut by the five ways
+    to add one. What is crowded still is dealt into blocks, a member in at most 16 of them,
+    and fingerprints too alike even for that meet halfway: rows stay linear in the classes.
+    Only one edge per linked class and group leaves a task, never the pairs.
+    """
+    def byte(at: int):
+        return F.shiftrightunsigned("fp", 8 * at).bitwiseAND(F.lit(255))
+
+    triples = postings()
+    keys = F.array(*(
+        (F.lit(number << 24) + byte(a) * (1 << 16) + byte(b) * (1 << 8) + byte(c)).cast("long")
+        for number, (a, b, c) in enumerate(triples)
+    ))
+    three = materialize(classes.select("fp", F.explode(keys).alias("posting")), "postings")
+    three_sizes = bucket_sizes(three, "posting")
+    crowded = F.col("bucket_size") > CROWDED_ROWS
+    edges = _compared(three, three_sizes.where(~crowded))
+    if three_sizes.where(crowded).isEmpty():
+        return edges
+
+    kept = F.lit([_signed(sum(0xFF << 8 * at for at in triple)) for triple in triples])
+    mask = F.get(kept, F.shiftright("posting", 24).cast("int"))
+    wider = F.filter(F.lit(_byte_masks(MIN_SHARED)), lambda four: four.bitwiseAND(mask) == mask)
+    # A collision of the hash merges two postings, whose pairs are verified like any other.
+    four = (
+        three.join(three_sizes.where(crowded), "posting")
+        .select("fp", F.explode(wider).alias("four"))
+        .select("fp", F.xxhash64("four", F.col("fp").bitwiseAND(F.col("four"))).alias("posting"))
+        .distinct()
+    )
+    four = materialize(four, "wider-postings")
+    four_sizes = bucket_sizes(four, "posting")
+    dense = F.col("bucket_size") > DENSE_ROWS
+    edges = edges.unionByName(_compared(four, four_sizes.where(~dense)))
+    if four_sizes.where(dense).isEmpty():
+        return edges
+    alike = four.join(four_sizes.where(dense), "posting").select("fp").distinct()
+    return edges.unionByName(halfway_links(alike))
+
+
+def _compared(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    groups = blocks_of(members, sizes, "posting", "fp", common.BLOCK_ROWS)
+    return dealt(groups, "posting").mapInArrow(_verify, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document row: ``doc_id``, ``version``, ``fp`` and ``component_id``.
 
     Documents link if their fingerprints differ in at most 4 bits; ``component_id`` is
     the smallest doc_id reachable. Equal fingerprints collapse first, so a group of
-    copies is one class, however large. Classes meet under three shared bytes
-    (:func:`postings`), where pairs are tallied and verified in bounded blocks. Only one
-    edge per linked class and block leaves a task, never the pairs.
+    copies is one class, however large; :func:`links` connects the classes.
 
     Null and empty texts have fingerprint zero and link like any other. Null doc_ids
     take part but are never the smallest; a group of only such rows has a null
@@ -136,19 +217,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     signed = materialize(fingerprints(docs.select("doc_id", "text")), "fingerprints")
     classes = materialize(signed.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "classes")
-
-    def byte(at: int):
-        return F.shiftrightunsigned("fp", 8 * at).bitwiseAND(F.lit(255))
-
-    keys = F.array(*(
-        F.lit(number << 24) + byte(a) * (1 << 16) + byte(b) * (1 << 8) + byte(c)
-        for number, (a, b, c) in enumerate(postings())
-    ))
-    members = materialize(classes.select("fp", F.explode(keys).alias("posting")), "postings")
-    edges = dealt(in_blocks(members, "posting", "fp"), "posting").mapInArrow(
-        _verify, "a long, b long"
-    )
-    linked = components(edges)
+    linked = components(links(classes.select("fp")))
     rooted = classes.join(linked, classes["fp"] == linked["node"], "left").select(
         "fp", "smallest", F.coalesce("root", "fp").alias("root")
     )

@@ -53,6 +53,42 @@ def test_simhash(spark, monkeypatch, block):
     assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
 
 
+def _alike(center: int, count: int, bits: int, seed: int) -> set[int]:
+    """Different words at most so many bits from a center."""
+    draw, found = random.Random(seed), set()
+    while len(found) < count:
+        found.add(center ^ sum(1 << bit for bit in draw.sample(range(64), draw.randint(0, bits))))
+    return found
+
+
+@pytest.mark.parametrize("crowded, dense, block", [(1024, 16384, 1024), (40, 10**6, 16), (40, 60, 16), (1, 1, 16)])
+def test_links_of_crowded_postings(spark, monkeypatch, crowded, dense, block):
+    """Three bytes, four bytes in blocks, and halfway words connect what all pairs connect."""
+    monkeypatch.setattr(simhash, "CROWDED_ROWS", crowded)
+    monkeypatch.setattr(simhash, "DENSE_ROWS", dense)
+    monkeypatch.setattr(common, "BLOCK_ROWS", block)
+    draw = random.Random(3)
+    fps = _alike(0x8123456789ABCDEF, 300, 4, 1) | _alike(7, 200, 6, 2) | {draw.getrandbits(64) for _ in range(100)}
+    fps = np.array(sorted(fps), np.uint64)
+    linked = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
+    names = fps.view(np.int64).tolist()
+    roots = smallest_reachable(names, linked)
+    frame = spark.createDataFrame([(fp,) for fp in names], "fp long")
+    found = dict(map(tuple, common.components(simhash.links(frame)).collect()))
+    assert {fp: found.get(fp, fp) for fp in names} == dict(zip(names, roots))
+    assert len(set(roots)) > 2
+
+
+def test_rows_of_a_crowded_posting_are_linear(spark):
+    """A member meets at most 16 blocks of its bucket; fuller buckets are not dealt in blocks."""
+    assert simhash.DENSE_ROWS <= 16 * common.BLOCK_ROWS
+    for count in (2_000, 8_000):
+        fps = spark.createDataFrame([(fp & (2**63 - 1),) for fp in _alike(11, count, 3, 5)], "fp long").distinct()
+        members = fps.selectExpr("fp", "1L AS posting")
+        groups = common.blocks_of(members, common.bucket_sizes(members, "posting"), "posting", "fp")
+        assert groups.count() <= 16 * count
+
+
 def test_representatives(spark):
     rows = [(4, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (None, "A B C D E"), (9, "other text"), (3, None), (7, "")]
     frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "doc_id AS version", "1 AS `x.y`")
