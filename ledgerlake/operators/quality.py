@@ -60,6 +60,27 @@ def landed_counts(lines: DataFrame) -> DataFrame:
     )
 
 
+def key_uniqueness(df: DataFrame, key: str, source: Sequence[str]) -> DataFrame:
+    """One row on a hash key made from ``source``: whether it names one source row each.
+
+    ``null_keys`` counts rows without key, ``shared_keys`` keys of different sources (hash
+    collisions), and ``repeated_keys`` keys of several rows, copies of one source included.
+    Counts and extremes are combined before the only shuffle; no group is gathered.
+    """
+    named = F.struct(*source)
+    keys = df.groupBy(key).agg(
+        F.count("*").alias("key_rows"), F.min(named).alias("first"), F.max(named).alias("last")
+    )
+    has_key = F.col(key).isNotNull()
+    return keys.agg(
+        F.coalesce(F.sum("key_rows"), F.lit(0)).alias("key_rows"),
+        F.count_if(has_key).alias("distinct_keys"),
+        F.coalesce(F.sum(F.when(~has_key, F.col("key_rows"))), F.lit(0)).alias("null_keys"),
+        F.count_if(has_key & (F.col("key_rows") > 1)).alias("repeated_keys"),
+        F.count_if(has_key & ~F.col("first").eqNullSafe(F.col("last"))).alias("shared_keys"),
+    )
+
+
 def fact_integrity(fact: DataFrame) -> DataFrame:
     """Proof that no source line was multiplied or lost its product unnoticed."""
     unresolved = (

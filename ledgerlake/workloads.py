@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake import datasets as data
+from ledgerlake import datasets as data, schemas
 from ledgerlake.functions import text
 from ledgerlake.operators import candidates, evaluate, lsh, notice_index, quality
 from ledgerlake.operators.landing import land
@@ -14,7 +14,7 @@ from ledgerlake.operators.minhash import (
     estimated_jaccard, portable_family, portable_wide_family, signature_size,
 )
 from ledgerlake.operators.ranking import ordered
-from ledgerlake.plans import publish, reconcile, reload, reports, star
+from ledgerlake.plans import publish, reconcile, reload, reports, star, tables
 from ledgerlake.session import materialize, shared_path
 from ledgerlake.sources import lake, masters, tills
 from ledgerlake.sources.notices import read_labelled_pairs, read_notices
@@ -185,6 +185,28 @@ def fact_integrity(spark, sf_dir):
     return quality.fact_integrity(data.fact(spark, sf_dir))
 
 
+def fact_line_keys(spark, sf_dir):
+    """Whether the fact's hash key names one landed line each."""
+    return quality.key_uniqueness(data.fact(spark, sf_dir), "sales_line_key", schemas.LINE_KEY)
+
+
+def stored_star(spark, sf_dir):
+    """The star saved as catalog tables, the fact replaced by a later load, and queried
+    with SQL through a temporary view."""
+    built, suffix = data.star_schema(spark, sf_dir), uuid.uuid4().hex
+    fact, store, product = (f"{name}_{suffix}" for name in ("fact_sales_line", "dim_store", "dim_product"))
+    tables.save_tables({fact: built.fact.where("is_revenue"), store: built.store, product: built.product})
+    tables.save_tables({fact: built.fact})
+    spark.table(fact).createOrReplaceTempView(f"lines_{suffix}")
+    return spark.sql(f"""
+        SELECT s.store_id, year(p.valid_from) AS version_year, count(*) AS lines,
+               count_if(f.is_revenue) AS revenue_lines,
+               CAST(sum(f.revenue_amount) AS DECIMAL(38, 2)) AS revenue
+        FROM lines_{suffix} f JOIN {store} s ON f.store_key = s.store_key
+        LEFT JOIN {product} p ON f.product_key = p.product_key
+        GROUP BY ALL""")
+
+
 def reissued_codes(spark, sf_dir):
     return quality.reissued_codes(data.dim_product(spark, sf_dir))
 
@@ -630,7 +652,7 @@ QUERIES: dict[str, Query] = {
         land_dedup_lines, land_union_dialects, dialect_round_trip, staged_publish, land_counts,
         row_checksum, partition_revenue, daily_store_revenue, dim_date, dim_surrogate_key,
         dim_product, product_validity_join, fact_sales_line, dashboard_revenue, fact_integrity,
-        reissued_codes, table_counts, master_checks, historical_price_report,
+        fact_line_keys, stored_star, reissued_codes, table_counts, master_checks, historical_price_report,
         federated_category_revenue, federated_report_ordered, portal_load_ordered, partial_reload,
         finance_reconciliation, pruned_partition_revenue,
         store_period_revenue, federated_lake_revenue, price_function_sql, finance_file,

@@ -18,6 +18,7 @@ DATA = "/root/testdata/sf0.001"
 # Every query and its SQL: python check.py <dir>. These keep the suite short.
 CHOSEN = (
     "land_union_dialects", "row_checksum", "dim_date", "dashboard_revenue",
+    "fact_line_keys", "stored_star",
     "historical_price_report", "federated_category_revenue", "finance_reconciliation",
     "normalized_tokens", "conservative_threshold", "lsh_candidates", "mitigation_compare",
 )

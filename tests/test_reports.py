@@ -97,6 +97,15 @@ def test_fact_keeps_every_line_of_known_stores(shop):
         ("a", 2), ("b", 9)}
 
 
+def test_keys_of_several_rows_and_of_several_sources(spark):
+    rows = [(1, "a", 1), (1, "a", 1), (2, "a", 2), (2, "b", 1), (3, None, 1), (3, "c", 1), (None, "d", 1), (4, "e", None)]
+    frame = spark.createDataFrame(rows, "key long, bill_no string, line_no int")
+    found = quality.key_uniqueness(frame, "key", ("bill_no", "line_no")).first().asDict()
+    assert found == {"key_rows": 8, "distinct_keys": 4, "null_keys": 1, "repeated_keys": 3, "shared_keys": 2}
+    empty = quality.key_uniqueness(frame.limit(0), "key", ("bill_no", "line_no")).first()
+    assert set(empty.asDict().values()) == {0}
+
+
 def test_net_revenue_leaves_tax_and_tender_out(shop):
     daily = as_set(reports.daily_revenue(shop["lines"]))
     assert ("S01", D(2024, 6, 1), M("24.00")) in daily
