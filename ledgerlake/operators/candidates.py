@@ -10,10 +10,10 @@ enough to be listed and counted.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.operators.lsh import (
-    BUCKET, BUCKET_CAP, band_rows, content_classes, pairs_within, signature_class, sized_rows,
+    BUCKET, BUCKET_CAP, hashed_classes, hashed_notices, pairs_within,
 )
 from ledgerlake.operators.percentiles import percentiles
-from ledgerlake.operators.skew import HOT_ROWS, lookup_join, split_join, with_group_size
+from ledgerlake.operators.skew import HOT_ROWS, lookup_join, shared_rows, split_join
 from ledgerlake.session import materialize
 
 HOTTEST = 10
@@ -37,77 +37,88 @@ def distinct_candidates(
     and only buckets up to that size take part. For the others each bucket has one sketch,
     merged from its classes' sketches of notice ids, and a class merges the sketches of its
     buckets: work in proportion to the band rows, with the sketch's error.
-    ``signatures(notice_id, signature)`` is read twice: pass a stored table.
     """
-    classes = materialize(
-        signatures.where(F.col("signature").isNotNull())
-        .groupBy(signature_class().alias("class_id"))
-        .agg(F.any_value("signature").alias("signature"), F.count("*").alias("notices")),
-        "classes",
+    return distinct_of_hashed(
+        hashed_notices(signatures, rows, bands), exact_work, sketch_bits, hot_rows
     )
-    keyed = materialize(
-        band_rows(classes.withColumnRenamed("class_id", "notice_id"), rows, bands)
-        .withColumnRenamed("notice_id", "class_id"), "class-bands",
+
+
+def distinct_of_hashed(
+    hashed: DataFrame, exact_work: int = EXACT_WORK, sketch_bits: int = SKETCH_BITS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """:func:`distinct_candidates` of :func:`hashed_notices`.
+
+    Classes have numbers, which keep band rows narrow. Buckets of the same classes are met
+    once: near duplicates share dozens of such buckets.
+    """
+    classes = materialize(
+        hashed_classes(hashed).withColumn("class_no", F.monotonically_increasing_id()), "classes"
     )
-    sized = with_group_size(keyed, BUCKET, "bucket_classes", hot_rows)
-    shared = materialize(sized.where("bucket_classes > 1"), "shared-bands")
+    keyed = classes.select("class_no", F.posexplode("hashes").alias("band_no", "band_hash"))
+    shared = materialize(shared_rows(keyed, BUCKET, "bucket_classes", hot_rows), "shared-bands")
     work = materialize(
-        shared.groupBy("class_id").agg(F.sum(F.col("bucket_classes") - 1).alias("work")), "class-work"
-    )
-    marked = materialize(
-        lookup_join(shared, work, ["class_id"], "inner"), "marked-bands"
-    )
-    weights = classes.select(F.col("class_id").alias("other_class"), "notices")
-    light = marked.where(F.col("work") <= exact_work).select("class_id", *BUCKET)
-    others = marked.where(F.col("bucket_classes") <= exact_work + 1).select(
-        F.col("class_id").alias("other_class"), *BUCKET
-    )
-    met = split_join(light, others, BUCKET, F.col("class_id") != F.col("other_class")).select(
-        "class_id", "other_class"
+        shared.groupBy("class_no").agg(F.sum(F.col("bucket_classes") - 1).alias("work")), "class-work"
+    )
+    # At most exact_work + 1 numbers a list.
+    lists = materialize(
+        shared.where(F.col("bucket_classes") <= exact_work + 1).groupBy(*BUCKET)
+        .agg(F.sort_array(F.collect_list("class_no")).alias("members"))
+        .select("members").distinct().withColumn("list_no", F.monotonically_increasing_id()),
+        "bucket-lists",
+    )
+    others = lists.select("list_no", F.explode("members").alias("other_no"))
+    light = lookup_join(
+        lists.select("list_no", F.explode("members").alias("class_no")),
+        work.where(F.col("work") <= exact_work).select("class_no"), ["class_no"], "left_semi",
+    )
+    met = split_join(light, others, ["list_no"], F.col("class_no") != F.col("other_no")).select(
+        "class_no", "other_no"
     ).distinct()
+    weights = classes.select(F.col("class_no").alias("other_no"), "notices")
     counted = (
-        lookup_join(met, weights, ["other_class"], "inner")
-        .groupBy("class_id").agg(F.sum("notices").alias("others"))
+        lookup_join(met, weights, ["other_no"], "inner")
+        .groupBy("class_no").agg(F.sum("notices").alias("others"))
         .withColumn("is_exact", F.lit(True))
     )
-    heavy = marked.where(F.col("work") > exact_work).select("class_id", *BUCKET)
+    heavy = lookup_join(
+        shared, work.where(F.col("work") > exact_work).select("class_no"), ["class_no"], "left_semi"
+    ).select("class_no", *BUCKET)
     if not heavy.isEmpty():
-        counted = counted.unionByName(
-            _sketched(signatures, marked, heavy, exact_work, sketch_bits, hot_rows)
-        )
+        counted = counted.unionByName(_sketched(hashed, classes, shared, heavy, sketch_bits, hot_rows))
     own = F.col("notices") - 1
-    per_class = classes.select("class_id", "notices").join(counted, "class_id", "left").select(
+    per_class = classes.select("class_id", "class_no", "notices").join(counted, "class_no", "left").select(
         "class_id",
         # A sketch counts the class itself as well.
         F.when(F.col("is_exact"), F.col("others") + own).otherwise(F.coalesce(F.col("others") - 1, own))
         .cast("bigint").alias("candidate_count"),
         F.coalesce("is_exact", F.lit(True)).alias("is_exact"),
     )
-    members = content_classes(signatures)
+    members = hashed.where(F.col("class_id").isNotNull()).select("notice_id", "class_id")
     return materialize(
         lookup_join(members, per_class, ["class_id"], "inner").drop("class_id"), "distinct-candidates"
     )
 
 
 def _sketched(
-    signatures: DataFrame, marked: DataFrame, heavy: DataFrame, exact_work: int,
+    hashed: DataFrame, classes: DataFrame, shared: DataFrame, heavy: DataFrame,
     sketch_bits: int, hot_rows: int,
 ) -> DataFrame:
-    """``(class_id, others, is_exact)`` of heavy classes, themselves counted too."""
+    """``(class_no, others, is_exact)`` of heavy classes, themselves counted too."""
     of_class = materialize(
-        signatures.where(F.col("signature").isNotNull())
-        .groupBy(signature_class().alias("class_id"))
-        .agg(F.hll_sketch_agg(F.col("notice_id").cast("string"), F.lit(sketch_bits)).alias("sketch")),
+        hashed.where(F.col("class_id").isNotNull()).groupBy("class_id")
+        .agg(F.hll_sketch_agg(F.col("notice_id").cast("string"), F.lit(sketch_bits)).alias("sketch"))
+        .join(classes.select("class_id", "class_no"), "class_id").select("class_no", "sketch"),
         "class-sketches",
     )
     asked = heavy.select(*BUCKET).distinct()
-    members = marked.select("class_id", *BUCKET).join(asked, list(BUCKET), "left_semi")
+    members = shared.select("class_no", *BUCKET).join(asked, list(BUCKET), "left_semi")
     of_bucket = materialize(
-        lookup_join(members, of_class, ["class_id"], "inner", None, 1_000, hot_rows)
+        lookup_join(members, of_class, ["class_no"], "inner", None, 1_000, hot_rows)
         .groupBy(*BUCKET).agg(F.hll_union_agg("sketch").alias("sketch")), "bucket-sketches",
     )
     merged = lookup_join(heavy, of_bucket, BUCKET, "inner", None, 1_000, hot_rows)
-    return merged.groupBy("class_id").agg(
+    return merged.groupBy("class_no").agg(
         F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("others")
     ).withColumn("is_exact", F.lit(False))
 
@@ -120,9 +131,10 @@ def candidate_load(
 
     ``candidate_work`` counts a candidate once per shared bucket; ``candidate_count``
     counts distinct candidates, before suppression those of ``unsuppressed``
-    (:func:`distinct_candidates`). ``bands`` is read twice: pass a stored table.
+    (:func:`distinct_candidates`). ``bands`` is read twice: pass a table that is stored, or
+    exploded from a stored one (``lsh.hashed_bands``).
     """
-    sized = materialize(sized_rows(bands, hot_rows).where("bucket_size > 1"), "sized-bands")
+    sized = materialize(shared_rows(bands, BUCKET, "bucket_size", hot_rows), "sized-bands")
     others = F.col("bucket_size") - 1
     work = sized.groupBy("notice_id").agg(
         F.sum(others).alias("before"),
