@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlake.operators.lsh import band_rows, signature_class
+from ledgerlake.operators.lsh import band_rows, hashed_classes, hashed_notices, signature_class
 from ledgerlake.operators.skew import HOT_ROWS, lookup_join, split_join
 from ledgerlake.session import materialize, shared_folder
 
@@ -40,11 +40,11 @@ def band_key() -> Column:
     return F.unhex(F.md5(F.concat(number, F.lit("-").cast("binary"), F.col("band_hash"))))
 
 
-def _classes(signatures: DataFrame, *sums: Column) -> DataFrame:
+def _classes(signatures: DataFrame) -> DataFrame:
     return (
         signatures.where(F.col("signature").isNotNull())
         .groupBy(signature_class().alias("class_id"))
-        .agg(F.any_value("signature").alias("signature"), *sums)
+        .agg(F.any_value("signature").alias("signature"))
     )
 
 
@@ -60,8 +60,7 @@ def build_index(
 ) -> NoticeIndex:
     """Create or replace the tables ``<name>_members``, ``_classes``, ``_bands``, ``_hot``.
 
-    ``signatures(notice_id, signature)`` is read twice: pass a stored table; notices
-    without signature are left out. Keys with more than ``hot_rows`` classes would fill one
+    Notices without signature are left out. Keys with more than ``hot_rows`` classes would fill one
     bucket file: they go to the unbucketed ``_hot`` table. Files lie in the shared folder.
     """
     spark = signatures.sparkSession
@@ -75,12 +74,14 @@ def build_index(
         writer.saveAsTable(f"{database}.{name}_{part}")
         return index.table(spark, part)
 
-    save("members", signatures.where(F.col("signature").isNotNull()).select(
-        "notice_id", signature_class().alias("class_id")
-    ))
-    classes = materialize(_classes(signatures, F.count("*").alias("notices")), "classes")
+    hashed = hashed_notices(signatures, rows, bands)
+    save("members", hashed.where(F.col("class_id").isNotNull()).select("notice_id", "class_id"))
+    classes = materialize(hashed_classes(hashed), "classes")
     save("classes", classes.select("class_id", "notices"))
-    keyed = materialize(_band_keys(classes, rows, bands), "class-bands")
+    keyed = materialize(
+        classes.select("class_id", F.posexplode("hashes").alias("band_no", "band_hash"))
+        .select("class_id", band_key().alias("band_key")), "class-bands",
+    )
     hot = materialize(
         keyed.groupBy("band_key").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
         .select("band_key", F.lit(True).alias("is_hot")), "hot-keys",
