@@ -28,8 +28,12 @@ def with_partition_keys(lines: DataFrame) -> DataFrame:
 
 def land(lines: DataFrame) -> DataFrame:
     """Normalized sales: deduplicated lines with year and month."""
-    kept = with_partition_keys(first_file_wins(lines))
-    return kept.select(
+    return normalized(first_file_wins(lines))
+
+
+def normalized(kept: DataFrame) -> DataFrame:
+    """Deduplicated lines in the lake's columns, with year and month."""
+    return with_partition_keys(kept).select(
         "store_id", "business_date", *schemas.LINE_KEY, "product_code", "qty",
         "unit_price", "line_type", "ts", "year", "month",
     )

@@ -23,6 +23,7 @@ def validity_join(
     version_rows: int | None = None,
     key_versions: int | None = None,
     bin_versions: int = BIN_VERSIONS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join on an equal key and a date inside the version's closed interval.
 
@@ -31,14 +32,16 @@ def validity_join(
     exact interval is checked once, so a row is compared only with versions of its month.
     A version is repeated for each month that it shares with the dates of ``rows``.
     ``version_rows`` is the size of ``versions`` where the caller has counted it, and
-    ``key_versions`` the largest number of versions of a key.
+    ``key_versions`` the largest number of versions of a key. ``hot_from`` is a cheaper
+    frame that tells the frequent keys of ``rows``; it is not used where months are.
     """
     inside: Column = F.col(on).between(F.col(start), F.col(end))
     if version_rows is None or key_versions is None:
         version_rows, key_versions = version_counts(versions, key)
     if key_versions <= bin_versions:
         return lookup_join(
-            rows, versions, [key], "left", inside, max_broadcast_rows, hot_rows, version_rows
+            rows, versions, [key], "left", inside, max_broadcast_rows, hot_rows, version_rows,
+            hot_from,
         )
     first, last = rows.agg(F.min(_month(on)), F.max(_month(on))).first()
     months = F.sequence(
@@ -102,7 +105,10 @@ def newest_version_join(
     tie_break: Sequence[str] = (),
     max_broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``validity_join`` that gives each row the newest matching version only."""
     segments = materialize(newest_segments(versions, key, start, end, tie_break), "versions")
-    return validity_join(rows, segments, key, on, start, end, max_broadcast_rows, hot_rows)
+    return validity_join(
+        rows, segments, key, on, start, end, max_broadcast_rows, hot_rows, hot_from=hot_from
+    )

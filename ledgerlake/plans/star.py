@@ -78,26 +78,35 @@ def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def resolve_products(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Add the product version that was valid on the business date."""
+def resolve_products(
+    lines: DataFrame, products: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
+    """Add the product version that was valid on the business date.
+
+    ``codes`` is a cheaper frame that tells frequent product codes, so that ``lines`` need
+    not be computed to count them.
+    """
     versions = products.select(
         "product_code", "product_key", "category_key", "valid_from", "valid_to"
     )
     return newest_version_join(
         lines, versions, "product_code", "business_date", "valid_from", "valid_to",
-        tie_break=["product_key"],
+        tie_break=["product_key"], hot_from=codes,
     )
 
 
-def fact_sales_line(lines: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
+def fact_sales_line(
+    lines: DataFrame, stores: DataFrame, products: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
     """One row per landed line; lines of unknown stores drop out.
 
-    ``lines`` must be landed, that is, unique by bill and line number.
+    ``lines`` must be landed, that is, unique by bill and line number. ``codes`` is that of
+    :func:`resolve_products`.
     """
     located = lookup_join(lines, stores.select("store_id", "store_key"), ["store_id"], "inner")
     is_revenue = F.col("line_type").isin(*schemas.REVENUE_LINE_TYPES)
     return (
-        resolve_products(located, products)
+        resolve_products(located, products, codes)
         .withColumn(
             "sales_line_key",
             F.xxhash64(F.concat(F.col("bill_no"), F.lit(":"), F.col("line_no").cast("string"))),
