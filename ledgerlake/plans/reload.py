@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlake import schemas
-from ledgerlake.operators.landing import first_file_wins, land
+from ledgerlake.operators.landing import first_file_wins, normalized, with_partition_keys
 from ledgerlake.operators.quality import checksum_metrics
 from ledgerlake.operators.skew import lookup_join
 from ledgerlake.session import materialize
@@ -71,7 +71,8 @@ def _contents(lines: DataFrame) -> DataFrame:
 
 
 def _keys(lines: DataFrame) -> DataFrame:
-    return lines.select(*schemas.LINE_KEY, "file", *_partition_of(F.col("file"))).distinct()
+    """The directory's rows: which export holds which line, with its partition."""
+    return with_partition_keys(lines).select(*schemas.LINE_KEY, "file", *_PARTITION)
 
 
 def _write(rows: DataFrame, path: str) -> None:
@@ -118,8 +119,8 @@ def reload(spark: SparkSession, folder: str, root: str, prefix: str = "") -> Dat
 
     Returns the stored partitions that were written. An export counts as changed if it is
     new or gone, or if its size or time differs *and* its rows do. Partitions written are
-    those of changed exports and of exports that share a line with them, before or after
-    the change. All other files stay unwritten; an unchanged folder writes nothing. The
+    those of changed exports, and those that lose or gain a line because another export is
+    the first that holds it now. All other files stay unwritten; an unchanged folder writes nothing. The
     first load finds everything changed.
 
     Lake, directory and state are written in this order, and the state last: after a
@@ -167,42 +168,84 @@ def _write_changed(
     spark: SparkSession, folder: str, root: str, prefix: str, now: DataFrame, fresh: DataFrame,
     changed: DataFrame,
 ) -> DataFrame:
-    names = changed.select("file")
+    names, key = F.broadcast(changed.select("file")), list(schemas.LINE_KEY)
     known = directory(spark, root)
-    stay = known.join(F.broadcast(names), "file", "left_anti")
-    before = known.join(F.broadcast(changed), ["file", *_PARTITION], "left_semi").select(*schemas.LINE_KEY)
-    fresh_keys = materialize(_keys(fresh.join(names, "file", "left_semi")), "fresh-keys")
-    touched = materialize(
-        before.unionByName(fresh_keys.select(*schemas.LINE_KEY)).distinct(), "touched-lines"
-    )
-    sharing = stay.join(touched, list(schemas.LINE_KEY), "left_semi").select(*_PARTITION)
-    written = materialize(
-        changed.select(*_PARTITION).unionByName(sharing).distinct(), "written-partitions"
-    )
-    # The lines of these partitions, and the first export of each of them anywhere.
+    first_load = known.isEmpty()
+    stay = known.join(names, "file", "left_anti")
+    fresh_keys = _keys(fresh.join(names, "file", "left_semi"))
+    written = changed.select(*_PARTITION).distinct()
+    if not first_load:
+        moved = _moved(known.join(names, "file", "left_semi"), stay, fresh_keys)
+        written = materialize(written.unionByName(moved).distinct(), "written-partitions")
+    # The lines of these partitions; changed exports were read already.
     located = now.select("file", *_partition_of(F.col("file")))
-    files = [row.file for row in located.join(written, _PARTITION, "left_semi").select("file").collect()]
-    lines = materialize(first_file_wins(read_exports(spark, folder, files, prefix)), "lines")
-    held = materialize(
-        stay.select(*fresh_keys.columns).unionByName(fresh_keys)
-        .join(lines.select(*schemas.LINE_KEY), list(schemas.LINE_KEY), "left_semi")
-        .groupBy(*schemas.LINE_KEY).agg(F.min("file").alias("first_file")), "first-files",
-    )
-    won = lookup_join(lines, held, list(schemas.LINE_KEY), "inner").where(
-        F.col("file") == F.col("first_file")
-    ).drop("first_file")
-    landed = materialize(land(won), "landed")
-    listed = materialize(
-        stay.join(F.broadcast(written), _PARTITION, "left_semi").select(*fresh_keys.columns)
-        .unionByName(fresh_keys), "listed",
-    )
-    for part, rows in (("lake", landed), ("directory", listed)):
-        _write(rows, f"{root}/{part}")
-        gone = written.join(rows.select(*_PARTITION).distinct(), _PARTITION, "left_anti").collect()
-        _empty(spark, f"{root}/{part}", gone)
+    files = [row.file for row in located.join(F.broadcast(written), _PARTITION, "left_semi").select("file").collect()]
+    read = {row.file for row in fresh.select("file").distinct().collect()}
+    lines = fresh
+    others = [name for name in files if name not in read]
+    if not first_load and others:
+        lines = fresh.where(F.col("file").isin(*read & set(files))).unionByName(
+            read_exports(spark, folder, others, prefix)
+        )
+    # Store and date are read off the name again once the first file has won.
+    won = first_file_wins(lines.drop("store_id", "business_date")).dropna(subset=key)
+    if not first_load:
+        # The first export of each line outside of these partitions: one row per line.
+        outside = (
+            stay.join(F.broadcast(written), _PARTITION, "left_anti")
+            .groupBy(*key).agg(F.min("file").alias("outside_file"))
+        )
+        won = won.join(outside, key, "left").where(
+            F.col("outside_file").isNull() | (F.col("file") < F.col("outside_file"))
+        )
+    file = F.col("file")
+    landed = normalized(won.withColumns({
+        "store_id": tills.store_of(file), "business_date": tills.business_date_of(file),
+    }))
+    if first_load:
+        _write(landed, f"{root}/lake")
+        _write(fresh_keys, f"{root}/directory")
+        return written
+    _replace(spark, materialize(landed, "landed"), f"{root}/lake", written)
+    # Only changed exports have other lines than before.
+    relisted = changed.select(*_PARTITION).distinct()
+    near = stay.join(F.broadcast(relisted), _PARTITION, "left_semi").select(*fresh_keys.columns)
+    _replace(spark, materialize(near.unionByName(fresh_keys), "listed"), f"{root}/directory", relisted)
     return written
 
 
+def _moved(before: DataFrame, stay: DataFrame, fresh_keys: DataFrame) -> DataFrame:
+    """Partitions that lose or gain a line because another export is the first now.
+
+    ``before`` and ``fresh_keys`` are the lines of changed exports, as they were and are;
+    ``stay`` are those of all others. Only lines of changed exports are looked up in it.
+    """
+    key = list(schemas.LINE_KEY)
+    was, now = (F.lit(at).alias(name) for at, name in ((True, "was"), (True, "is")))
+    never = F.lit(False)
+    names = [*key, "file"]
+    touched = materialize(before.select(*key).unionByName(fresh_keys.select(*key)).distinct(), "touched-lines")
+    shared = lookup_join(stay.select(*names), touched, key, "left_semi")
+    holders = (
+        shared.select(*names, was, now)
+        .unionByName(before.select(*names, was, never.alias("is")))
+        .unionByName(fresh_keys.select(*names, never.alias("was"), now))
+    )
+    firsts = holders.dropna(subset=key).groupBy(*key).agg(
+        F.min(F.when(F.col("was"), F.col("file"))).alias("old"),
+        F.min(F.when(F.col("is"), F.col("file"))).alias("new"),
+    ).where(~F.col("old").eqNullSafe(F.col("new")))
+    moved = firsts.select(F.explode(F.array("old", "new")).alias("file")).where("file is not null").distinct()
+    return moved.select(*_partition_of(F.col("file")))
+
+
+def _replace(spark: SparkSession, rows: DataFrame, path: str, written: DataFrame) -> None:
+    """Write stored ``rows``, and empty the partitions of ``written`` that have none any more."""
+    _write(rows, path)
+    gone = written.join(rows.select(*_PARTITION).distinct(), _PARTITION, "left_anti").collect()
+    _empty(spark, path, gone)
+
+
 def read_reloaded(spark: SparkSession, root: str) -> DataFrame:
     return read_lake(spark, f"{root}/lake")
 

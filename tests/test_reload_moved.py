@@ -1,0 +1,26 @@
+"""A partition that shares a line but neither loses nor gains one is left as it is."""
+
+from test_reload import _check, _export, _files
+
+from conftest import as_set
+
+from ledgerlake.plans import reload
+
+
+def test_shared_lines_that_stay_where_they_are(spark, tmp_path):
+    folder, root = tmp_path / "tills", tmp_path / "root"
+    folder.mkdir()
+    _export(folder, "S01_20240105", [("b1", 1, 1), ("b2", 1, 2)])
+    _export(folder, "S03_20240105", [("b3", 1, 3)])
+    # The other dialects have stores of their own.
+    (folder / "SALES_S06_20240105.csv").write_text("bill_no;line_no;item_code;quantity;rate;type;txn_time\nc1;1;p;1;2.00;SALE;t\n")
+    (folder / "SALES_S10_20240105.csv").write_text("ts,bill_no,line_no,line_type,product_code,unit_price,qty\n5,d1,1,SALE,p,2.00,1\n")
+    reload.reload(spark, str(folder), str(root))
+    before = _files(root)
+    # S01 keeps b1:1, which it has first; S03 loses b3:1.
+    _export(folder, "S02_20240105", [("b1", 1, 7), ("b3", 1, 8), ("b4", 1, 9)])
+    written = as_set(reload.reload(spark, str(folder), str(root)))
+    assert written == {("S02", 2024, "01"), ("S03", 2024, "01")}
+    _check(spark, folder, root)
+    kept = "lake/store_id=S01/year=2024/month=01"
+    assert _files(root)[kept] == before[kept]
