@@ -19,6 +19,7 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,6 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 # A pair is frequent from this many places of its shard on: every pair that repeats.
 MIN_PAIRS = 2
-SLOTS = 1 << 18
 REMEMBERED = 300_000
 # Characters that are encoded together.
 GROUP_CHARS = 1 << 22
@@ -46,6 +46,8 @@ GROUP_CHARS = 1 << 22
 _WORDS = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 )
+# Four little-endian bytes an id, for words of few ids.
+_PACKERS = [struct.Struct(f"<{number}I").pack for number in range(32)]
 _BETWEEN_BLANKS = re.compile(r" (?<=\s )\s")
 
 
@@ -80,13 +82,17 @@ class PieceEncoder:
 
     def _merged(self, written: str) -> bytes:
         ids = [token.id for token in self._merge(written)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _PACKERS[len(ids)](*ids) if len(ids) < len(_PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode_after_blank(self, chunk: str) -> bytes:
         # Letters only are one word, which is remembered as a chunk; ASCII ones are written
         # as they are.
         if chunk.isalpha():
             return self._merged(self._blank + chunk) if chunk.isascii() else self._encode_word(" " + chunk)
+        # Letters and marks after them are two words, the first remembered as a chunk.
+        letters = chunk.rstrip(punctuation)
+        if letters.isalpha():
+            return self._chunks[letters] + self._words[chunk[len(letters):]]
         return self._encode_chunk(" " + chunk)
 
     def _encode_chunk(self, chunk: str) -> bytes:
@@ -123,7 +129,9 @@ class PieceEncoder:
             flat = cut.flatten()
             coded = flat.dictionary_encode()
             at = coded.indices.to_numpy().astype(np.int64)
-            ids = list(map(self._chunks.__getitem__, coded.dictionary.to_pylist()))
+            # By way of numpy: Arrow's own list takes longer than looking the chunks up.
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            ids = list(map(self._chunks.__getitem__, distinct))
             # The first chunk of a text has no blank before it: an entry of its own.
             at[offsets[:-1]] = len(ids) + np.arange(len(together))
             ids.extend(map(self._encode_chunk, flat.take(pa.array(offsets[:-1])).to_pylist()))
@@ -146,6 +154,34 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def _by_pair(
+    left: np.ndarray, right: np.ndarray, places: np.ndarray, side: int, low: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """``left << 32 | right`` of all places in ascending order, and the place of each.
+
+    Symbols have ``side`` bits and places ``low``: pair and place are sorted as one number
+    where they fit 63 bits.
+    """
+    pairs = left.astype(np.int64)
+    if 2 * side + low > 63:
+        pairs <<= 32
+        pairs |= right
+        order = np.argsort(pairs)
+        return pairs[order], places[order]
+    pairs <<= side
+    pairs |= right
+    pairs <<= low
+    pairs |= places
+    pairs.sort()
+    places = pairs & (1 << low) - 1
+    pairs >>= low
+    right = pairs & (1 << side) - 1
+    pairs >>= side
+    pairs <<= 32
+    pairs |= right
+    return pairs, places
+
+
 def re_pair(
     ids: np.ndarray, stops: np.ndarray, base: int, min_pairs: int = MIN_PAIRS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +197,8 @@ def re_pair(
     rounds look at the places next to replaced ones and at pairs that are still frequent.
     """
     min_pairs = max(min_pairs, 2)
-    symbols = ids.astype(np.int64)
+    # Each rule takes a symbol away at least, so none is numbered above this.
+    symbols = ids.astype(np.int32 if base + len(ids) < 1 << 31 else np.int64)
     last = np.zeros(len(symbols), bool)
     last[stops[stops > np.concatenate(([0], stops[:-1]))] - 1] = True
     rules: list[np.ndarray] = []
@@ -169,51 +206,47 @@ def re_pair(
     open_places = ~last
     while True:
         places = np.flatnonzero(open_places)
-        pairs = symbols[places] << 32 | symbols[places + 1]
-        # Counts by hash slot bound each pair's count, so most places are out at once.
-        hashes = pairs * 0x9E3779B97F4A7C1
-        slots = (hashes >> 40) & (SLOTS - 1)
-        some = (np.bincount(slots, minlength=SLOTS) >= min_pairs)[slots]
-        open_places[places[~some]] = False
-        places, pairs, hashes = places[some], pairs[some], hashes[some]
+        if not len(places):
+            break
         # A symbol that repeats gives a run of one pair: only every other place counts.
-        same = pairs >> 32 == pairs & 0xFFFFFFFF
-        if same.any():
-            run = np.flatnonzero(same)
-            opens = np.diff(places[run], prepend=-2) != 1
-            opens[1:] |= pairs[run[1:]] != pairs[run[:-1]]
+        left, right = symbols.take(places), symbols[1:].take(places)
+        same = np.flatnonzero(left == right)
+        opens = np.diff(places[same], prepend=-2) != 1
+        if not opens.all():
             start = np.flatnonzero(opens)[np.cumsum(opens) - 1]
             keep = np.ones(len(places), bool)
-            keep[run[(np.arange(len(run)) - start) % 2 == 1]] = False
-            places, pairs, hashes = places[keep], pairs[keep], hashes[keep]
-        order = np.argsort(pairs)
-        ordered = pairs[order]
-        heads = np.flatnonzero(np.diff(ordered, prepend=-1))
-        counts = np.diff(np.append(heads, len(ordered)))
+            keep[same[(np.arange(len(same)) - start) % 2 == 1]] = False
+            left, right, places = left[keep], right[keep], places[keep]
+        pairs, places = _by_pair(left, right, places, (top - 1).bit_length(), len(symbols).bit_length())
+        heads = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+        counts = np.diff(np.append(heads, len(pairs)))
         often = counts >= min_pairs
         if not often.any():
             break
-        rule = np.empty(len(places), np.int64)
-        rule[order] = np.repeat(np.arange(len(counts)), counts)
-        hit = often[rule]
+        hit = np.repeat(often, counts)
         open_places[places[~hit]] = False
-        places, rule, hashes = places[hit], rule[hit], hashes[hit]
-        weight = np.zeros(len(symbols) + 2, np.int64)
-        weight[places + 1] = counts[rule] << 30 | (hashes >> 20) & (1 << 30) - 1
-        here = weight[places + 1]
-        won = (weight[places] < here) & (weight[places + 2] <= here)
-        done = np.bincount(rule[won], minlength=len(counts))
+        places, keys, counts = places[hit], pairs[heads[often]], counts[often]
+        # Frequent pairs by weight; ``ranks`` has the rank of each place, 0 where there is none.
+        by_weight = np.argsort(counts << 30 | (keys * 0x9E3779B97F4A7C1 >> 20) & (1 << 30) - 1)
+        rank = np.empty(len(keys), np.int32)
+        rank[by_weight] = np.arange(1, len(keys) + 1)
+        ranks = np.zeros(len(symbols) + 2, np.int32)
+        ranks[1:][places] = np.repeat(rank, counts)
+        here = ranks[1:-1]
+        at = np.flatnonzero((here > 0) & (ranks[:-2] < here) & (ranks[2:] <= here))
+        rule = by_weight[here[at] - 1]
         # The pair of the greatest weight loses no place, so each round makes a rule.
-        made = done >= min_pairs
+        made = np.bincount(rule, minlength=len(keys)) >= min_pairs
         if not made.any():
             break
-        won &= made[rule]
+        if not made.all():
+            won = made[rule]
+            at, rule = at[won], rule[won]
         names = np.cumsum(made) - 1 + top
-        keys = ordered[heads[made]]
+        keys = keys[made]
         rules.append(np.stack((keys >> 32, keys & 0xFFFFFFFF), axis=1))
         top += len(keys)
-        at = places[won]
-        symbols[at] = names[rule[won]]
+        symbols[at] = names[rule]
         last[at] = last[at + 1]
         # The pairs before and after a new symbol are new.
         open_places[at] = True
@@ -225,7 +258,8 @@ def re_pair(
         # The symbol before a new one may itself have been merged away.
         merged = before[~keep[before]]
         open_places[merged - 1] = True
-        symbols, last, open_places = symbols[keep], last[keep], open_places[keep]
+        kept = np.flatnonzero(keep)
+        symbols, last, open_places = symbols.take(kept), last.take(kept), open_places.take(kept)
         open_places &= ~last
     made_rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     ends = np.flatnonzero(last) + 1
@@ -418,7 +452,7 @@ def _unpacker(names: list[str]) -> Callable:
                     "shard": pa.array(np.full(total, row["shard"], np.int32)),
                     "in_shard": pa.array(np.cumsum(sizes) - sizes),
                     "n_tokens": pa.array([len(one) for one in ids], pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(one.astype("<u4").tobytes()) for one in ids], pa.int64()),
+                    "ids_crc32": pa.array([zlib.crc32(one.astype("<u4", copy=False)) for one in ids], pa.int64()),
                 }
                 if "ids" in names:
                     columns["ids"] = pa.array([one.astype(np.int64) for one in ids], pa.list_(pa.int64()))
