@@ -19,11 +19,9 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from string import punctuation
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
@@ -37,6 +35,9 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 # A pair is frequent from this many places of its shard on: every pair that repeats.
 MIN_PAIRS = 2
+# Pieces of text of which a worker remembers the ids, about 55 bytes each, and the words
+# of longer pieces.
+REMEMBERED_PIECES = 1 << 20
 REMEMBERED = 300_000
 # Characters that are encoded together.
 GROUP_CHARS = 1 << 22
@@ -46,9 +47,14 @@ GROUP_CHARS = 1 << 22
 _WORDS = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 )
+_LETTER, _SPACE, _ODD = 1, 2, 4
+# What each character is, up to the last plain one; all later ones are odd.
+_KINDS = np.array([
+    _LETTER * bool(re.match(r"[^\W\d_]", char)) + _SPACE * char.isspace() if is_plain(char) else _ODD
+    for char in map(chr, range(0x2029))
+], np.uint8)
 # Four little-endian bytes an id, for words of few ids.
 _PACKERS = [struct.Struct(f"<{number}I").pack for number in range(32)]
-_BETWEEN_BLANKS = re.compile(r" (?<=\s )\s")
 
 
 def default_tokenizer() -> str:
@@ -57,13 +63,118 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _spans(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``values[start:start + size]`` of each start and size, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
+    source = np.repeat((starts - ends + sizes).astype(kind), sizes)
+    source += np.arange(total, dtype=kind)
+    return values[source]
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """``_KINDS`` of the character that each byte of UTF-8 belongs to."""
+    kinds = _KINDS[data]
+    wide = np.flatnonzero(data >= 0x80)
+    if len(wide):
+        heads = data[wide] >= 0xC0
+        at = wide[heads]
+        first, second, third = (
+            data[np.minimum(at + step, len(data) - 1)].astype(np.int32) for step in range(3)
+        )
+        codes = np.where(
+            first < 0xE0, (first & 31) << 6 | second & 63,
+            (first & 31) << 12 | (second & 63) << 6 | third & 63,
+        )
+        # Four bytes give at least 0x10000 here.
+        found = _KINDS[np.minimum(codes, len(_KINDS) - 1)]
+        kinds[wide] = found[np.cumsum(heads) - 1]
+    return kinds
+
+
+class WordIds:
+    """Ids of the words met lately, by word.
+
+    Words of at most 16 bytes are remembered as numbers, in columns sorted by a hash; a
+    word counts as known only if its bytes are equal too. When ``size`` words are
+    exceeded, those not met again since the last time are forgotten.
+    """
+
+    WIDTH = 16
+
+    def __init__(self, compute: Callable[[str], bytes], size: int = REMEMBERED_PIECES):
+        self._compute, self._size = compute, size
+        self._clear()
+
+    def _clear(self) -> None:
+        # Hash, both halves of the word, where its ids start, how many they are.
+        self._table = np.zeros((5, 0), np.uint64)
+        self._ids = np.zeros(0, np.uint32)
+        self._met = np.zeros(0, bool)
+
+    def __len__(self) -> int:
+        return len(self._met)
+
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each of the distinct words, and all their ids in order."""
+        _, offsets, data = words.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(data, np.uint8)
+        lengths = np.diff(offsets)
+        short = lengths <= self.WIDTH
+        steps = np.arange(self.WIDTH)
+        letters = data[np.minimum(offsets[:-1, None] + steps, len(data) - 1)]
+        letters[steps >= lengths[:, None]] = 0  # no plain text holds a zero byte
+        low, high = letters.view("<u8").T
+        hashes = (low ^ high * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
+        hashes ^= hashes >> np.uint64(29)
+        at = np.searchsorted(self._table[0], hashes)
+        hit = short & (at < len(self))
+        place = at[hit]
+        hit[hit] = (
+            (self._table[0, place] == hashes[hit]) & (self._table[1, place] == low[hit])
+            & (self._table[2, place] == high[hit])
+        )
+        self._met[at[hit]] = True
+        missing = np.flatnonzero(~hit)
+        made = [self._compute(word.decode()) for word in words.take(pa.array(missing)).to_pylist()]
+        starts, sizes = np.zeros((2, len(words)), np.int64)
+        starts[hit], sizes[hit] = self._table[3:, at[hit]]
+        sizes[missing] = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        starts[missing] = len(self._ids) + np.cumsum(sizes[missing]) - sizes[missing]
+        values = np.concatenate((self._ids, np.frombuffer(b"".join(made), "<u4")))
+        ids = _spans(values, starts, sizes)
+        new = missing[short[missing]]
+        new = new[np.argsort(hashes[new])]
+        rows = np.stack((hashes[new], low[new], high[new], sizes[new].astype(np.uint64)))
+        self._remember(rows, _spans(values, starts[new], sizes[new]))
+        return sizes, ids
+
+    def _remember(self, rows: np.ndarray, ids: np.ndarray) -> None:
+        """Adds words by ascending hash: hash, halves and number of ids, and their ids."""
+        if len(self) + rows.shape[1] > self._size:
+            if 2 * np.count_nonzero(self._met) > self._size:
+                self._clear()
+            kept = self._table[:, self._met]
+            self._ids = _spans(self._ids, kept[3].astype(np.int64), kept[4].astype(np.int64))
+            kept[3] = np.cumsum(kept[4]) - kept[4]
+            self._table, self._met = kept, np.zeros(kept.shape[1], bool)
+        sizes = rows[3]
+        starts = np.cumsum(sizes) - sizes + np.uint64(len(self._ids))
+        places = np.searchsorted(self._table[0], rows[0])
+        self._table = np.insert(self._table, places, np.stack((*rows[:3], starts, sizes)), axis=1)
+        self._met = np.insert(self._met, places, True)
+        self._ids = np.concatenate((self._ids, ids))
+
+
 class PieceEncoder:
     """Whole-text encoding that remembers what the library gives for a word.
 
-    A text is cut before its blanks, where the word split always cuts unless the blank
-    stands between two others. A chunk that was not seen lately is split into words,
-    and the library merges the words that were not seen lately. Texts with a special
-    token or unusual characters go to the library in one piece.
+    Texts are cut where the word split always cuts: before a blank unless it stands
+    between two others, after letters, and after a single line end or tab before other
+    text. A piece that was not seen lately is split into words, and the library merges the
+    words that were not seen lately. Texts with a special token or unusual characters go to the library in one piece.
     """
 
     def __init__(self, path: str):
@@ -72,82 +183,89 @@ class PieceEncoder:
         self._special = [token.content for token in self._library.get_added_tokens_decoder().values()]
         self._written = {ord(byte): shown for shown, byte in byte_alphabet().items()}
         self._words = Memory(self._encode_word, REMEMBERED)
-        self._chunks = Memory(self._encode_after_blank, REMEMBERED)
+        self._pieces = WordIds(self._encode_piece)
         self._blank = self._written[ord(" ")]
         self.size = self._library.get_vocab_size()
 
     def _encode_word(self, word: str) -> bytes:
-        written = word.encode().decode("latin-1").translate(self._written)
-        return self._merged(written)
+        return self._merged(word.encode().decode("latin-1").translate(self._written))
 
     def _merged(self, written: str) -> bytes:
         ids = [token.id for token in self._merge(written)]
         return _PACKERS[len(ids)](*ids) if len(ids) < len(_PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
 
-    def _encode_after_blank(self, chunk: str) -> bytes:
-        # Letters only are one word, which is remembered as a chunk; ASCII ones are written
-        # as they are.
-        if chunk.isalpha():
-            return self._merged(self._blank + chunk) if chunk.isascii() else self._encode_word(" " + chunk)
-        # Letters and marks after them are two words, the first remembered as a chunk.
-        letters = chunk.rstrip(punctuation)
-        if letters.isalpha():
-            return self._chunks[letters] + self._words[chunk[len(letters):]]
-        return self._encode_chunk(" " + chunk)
-
-    def _encode_chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self._words.__getitem__, _WORDS.findall(chunk)))
+    def _encode_piece(self, piece: str) -> bytes:
+        # A short word is remembered as a piece; ASCII letters are written as they are.
+        if len(piece) <= WordIds.WIDTH and piece[0] == " " and piece.isascii() and piece[1:].isalpha():
+            return self._merged(self._blank + piece[1:])
+        words = _WORDS.findall(piece)
+        if len(words) == 1 and len(piece.encode()) <= WordIds.WIDTH:
+            return self._encode_word(piece)
+        return b"".join(map(self._words.__getitem__, words))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of one whole text; null has none."""
-        if not text:
-            return np.zeros(0, np.uint32)
-        if not is_plain(text) or any(token in text for token in self._special):
-            return np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
-        if _BETWEEN_BLANKS.search(text):
-            return np.frombuffer(self._encode_chunk(text), "<u4")
-        first, *chunks = text.split(" ")
-        rest = b"".join(map(self._chunks.__getitem__, chunks))
-        return np.frombuffer(self._encode_chunk(first) + rest, "<u4")
+        return self.encode_all([text])[0]
+
+    def _encode_odd(self, text: str) -> np.ndarray:
+        if is_plain(text) and not any(token in text for token in self._special):
+            return np.frombuffer(self._encode_piece(text), "<u4")
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text. Ordinary texts are cut together, each distinct chunk is looked
+        """Ids of each text. Ordinary texts are cut together, each distinct piece is looked
         up once, and the ids are put in place by array arithmetic."""
-        found: list[np.ndarray | None] = [None] * len(texts)
-        together = []
-        for place, text in enumerate(texts):
-            if (
-                text and is_plain(text) and not _BETWEEN_BLANKS.search(text)
-                and not any(token in text for token in self._special)
-            ):
-                together.append(place)
-            else:
-                found[place] = self.encode(text)
-        if together:
-            cut = pc.split_pattern(pa.array([texts[place] for place in together], pa.large_string()), " ")
-            offsets = cut.offsets.to_numpy()
-            flat = cut.flatten()
-            coded = flat.dictionary_encode()
-            at = coded.indices.to_numpy().astype(np.int64)
-            # By way of numpy: Arrow's own list takes longer than looking the chunks up.
-            distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-            ids = list(map(self._chunks.__getitem__, distinct))
-            # The first chunk of a text has no blank before it: an entry of its own.
-            at[offsets[:-1]] = len(ids) + np.arange(len(together))
-            ids.extend(map(self._encode_chunk, flat.take(pa.array(offsets[:-1])).to_pylist()))
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            starts = np.cumsum(sizes) - sizes
-            each = sizes[at]
-            ends = np.cumsum(each)
-            total = int(ends[-1])
-            kind = np.int32 if max(total, int(sizes.sum())) < 1 << 31 else np.int64
-            source = np.repeat((starts[at] - ends + each).astype(kind), each)
-            source += np.arange(total, dtype=kind)
-            result = np.frombuffer(b"".join(ids), "<u4")[source]
-            for place, one in zip(together, np.split(result, ends[offsets[1:-1] - 1])):
+        found = [np.zeros(0, np.uint32)] * len(texts)
+        filled = [place for place, text in enumerate(texts) if text]
+        while filled:
+            whole = pa.array([texts[place] for place in filled], pa.large_string())
+            offsets = np.frombuffer(whole.buffers()[1], np.int64)[:len(filled) + 1]
+            data = np.frombuffer(whole.buffers()[2], np.uint8)[:offsets[-1]]
+            kinds = _kinds(data)
+            odd = self._odd(data, kinds, offsets, texts, filled)
+            if not odd:
+                break
+            for place in odd:
+                found[place] = self._encode_odd(texts[place])
+            filled = sorted(set(filled) - odd)
+        if filled:
+            space, letter = kinds == _SPACE, kinds == _LETTER
+            cut = data == 32
+            cut[1:] |= letter[:-1] & ~letter[1:]
+            # One line end or tab between other characters is a word of its own.
+            cut[2:] |= (data[1:-1] < 32) & ~space[2:] & ~space[:-2]
+            cut[offsets[:-1]] = True
+            begins = np.flatnonzero(cut)
+            pieces = pa.Array.from_buffers(pa.large_binary(), len(begins), [
+                None, pa.py_buffer(np.append(begins, len(data))), whole.buffers()[2],
+            ]).dictionary_encode()
+            sizes, ids = self._pieces.find(pieces.dictionary)
+            at = pieces.indices.to_numpy()
+            result = _spans(ids, (np.cumsum(sizes) - sizes)[at], sizes[at])
+            ends = np.concatenate(([0], np.cumsum(sizes[at])))
+            edges = ends[np.searchsorted(begins, offsets[1:-1])]
+            for place, one in zip(filled, np.split(result, edges)):
                 found[place] = one
         return found
 
+    def _odd(
+        self, data: np.ndarray, kinds: np.ndarray, offsets: np.ndarray, texts: list, filled: list
+    ) -> set[int]:
+        """Places of the texts that cannot be cut: unusual characters, a blank between two
+        others, special tokens."""
+        space = kinds == _SPACE
+        at = np.concatenate((
+            np.flatnonzero(kinds == _ODD),
+            np.flatnonzero((data[1:-1] == 32) & space[:-2] & space[2:]) + 1,
+        ))
+        rows = np.unique(np.searchsorted(offsets, at, "right") - 1)
+        odd = {filled[row] for row in rows.tolist()}
+        joined = data.tobytes()
+        for token in self._special:
+            if token.encode() in joined:
+                odd.update(place for place in filled if token in texts[place])
+        return odd
+
 
 @lru_cache(maxsize=2)
 def piece_encoder(path: str) -> PieceEncoder:
@@ -182,6 +300,34 @@ def _by_pair(
     return pairs, places
 
 
+def _frequent(
+    left: np.ndarray, right: np.ndarray, places: np.ndarray, after: np.ndarray,
+    side: int, low: int, min_pairs: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of frequent pairs and their ranks by weight, the pairs by rank, and the places
+    of rare ones. ``after`` has the place that follows each."""
+    # A symbol that repeats gives a run of one pair: only every other place counts.
+    same = np.flatnonzero(left == right)
+    opens = np.ones(len(same), bool)
+    opens[1:] = places[same[1:]] != after[same[:-1]]
+    if not opens.all():
+        start = np.flatnonzero(opens)[np.cumsum(opens) - 1]
+        keep = np.ones(len(places), bool)
+        keep[same[(np.arange(len(same)) - start) % 2 == 1]] = False
+        kept = np.flatnonzero(keep)
+        left, right, places = left.take(kept), right.take(kept), places.take(kept)
+    pairs, places = _by_pair(left, right, places, side, low)
+    heads = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+    counts = np.diff(np.append(heads, len(pairs)))
+    often = counts >= min_pairs
+    hit = np.repeat(often, counts)
+    keys, counts = pairs[heads[often]], counts[often]
+    by_weight = np.argsort(counts << 30 | (keys * 0x9E3779B97F4A7C1 >> 20) & (1 << 30) - 1)
+    rank = np.empty(len(keys), np.int32)
+    rank[by_weight] = np.arange(1, len(keys) + 1)
+    return places[hit], np.repeat(rank, counts), keys[by_weight], places[~hit]
+
+
 def re_pair(
     ids: np.ndarray, stops: np.ndarray, base: int, min_pairs: int = MIN_PAIRS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,6 +341,8 @@ def re_pair(
 
     A pair that was rare can only become frequent where one of its symbols is new, so later
     rounds look at the places next to replaced ones and at pairs that are still frequent.
+    While these are many, the symbols left close ranks after each round; then they stay
+    where they are and know their neighbours, and a round's work follows its places.
     """
     min_pairs = max(min_pairs, 2)
     # Each rule takes a symbol away at least, so none is numbered above this.
@@ -203,50 +351,40 @@ def re_pair(
     last[stops[stops > np.concatenate(([0], stops[:-1]))] - 1] = True
     rules: list[np.ndarray] = []
     top = base
+
+    def name(rule: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which places get their rule, and the new symbols of those."""
+        nonlocal top
+        # The pair of the greatest weight loses no place, so each round makes a rule.
+        made = np.bincount(rule, minlength=len(keys)) >= min_pairs
+        order = np.flatnonzero(made)[np.argsort(keys[made])]
+        names = np.empty(len(keys), np.int64)
+        names[order] = np.arange(top, top + len(order))
+        rules.append(np.stack((keys[order] >> 32, keys[order] & 0xFFFFFFFF), axis=1))
+        top += len(order)
+        won = made[rule]
+        return won, names[rule[won]]
+
     open_places = ~last
-    while True:
-        places = np.flatnonzero(open_places)
-        if not len(places):
+    places = np.flatnonzero(open_places)
+    while 3 * len(places) > len(symbols):
+        low = len(symbols).bit_length()
+        hits, found, keys, rare = _frequent(
+            symbols.take(places), symbols[1:].take(places), places, places + 1,
+            (top - 1).bit_length(), low, min_pairs,
+        )
+        if not len(keys):
+            places = hits
             break
-        # A symbol that repeats gives a run of one pair: only every other place counts.
-        left, right = symbols.take(places), symbols[1:].take(places)
-        same = np.flatnonzero(left == right)
-        opens = np.diff(places[same], prepend=-2) != 1
-        if not opens.all():
-            start = np.flatnonzero(opens)[np.cumsum(opens) - 1]
-            keep = np.ones(len(places), bool)
-            keep[same[(np.arange(len(same)) - start) % 2 == 1]] = False
-            left, right, places = left[keep], right[keep], places[keep]
-        pairs, places = _by_pair(left, right, places, (top - 1).bit_length(), len(symbols).bit_length())
-        heads = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
-        counts = np.diff(np.append(heads, len(pairs)))
-        often = counts >= min_pairs
-        if not often.any():
-            break
-        hit = np.repeat(often, counts)
-        open_places[places[~hit]] = False
-        places, keys, counts = places[hit], pairs[heads[often]], counts[often]
-        # Frequent pairs by weight; ``ranks`` has the rank of each place, 0 where there is none.
-        by_weight = np.argsort(counts << 30 | (keys * 0x9E3779B97F4A7C1 >> 20) & (1 << 30) - 1)
-        rank = np.empty(len(keys), np.int32)
-        rank[by_weight] = np.arange(1, len(keys) + 1)
+        open_places[rare] = False
+        # The rank of each place, 0 where there is none.
         ranks = np.zeros(len(symbols) + 2, np.int32)
-        ranks[1:][places] = np.repeat(rank, counts)
+        ranks[1:][hits] = found
         here = ranks[1:-1]
-        at = np.flatnonzero((here > 0) & (ranks[:-2] < here) & (ranks[2:] <= here))
-        rule = by_weight[here[at] - 1]
-        # The pair of the greatest weight loses no place, so each round makes a rule.
-        made = np.bincount(rule, minlength=len(keys)) >= min_pairs
-        if not made.any():
-            break
-        if not made.all():
-            won = made[rule]
-            at, rule = at[won], rule[won]
-        names = np.cumsum(made) - 1 + top
-        keys = keys[made]
-        rules.append(np.stack((keys >> 32, keys & 0xFFFFFFFF), axis=1))
-        top += len(keys)
-        symbols[at] = names[rule]
+        at = np.flatnonzero((here > ranks[:-2]) & (ranks[2:] <= here))
+        won, names = name(here[at] - 1, keys)
+        at = at[won]
+        symbols[at] = names
         last[at] = last[at + 1]
         # The pairs before and after a new symbol are new.
         open_places[at] = True
@@ -254,13 +392,49 @@ def re_pair(
         open_places[before] = True
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        open_places[at + 1] = False
         # The symbol before a new one may itself have been merged away.
         merged = before[~keep[before]]
         open_places[merged - 1] = True
         kept = np.flatnonzero(keep)
         symbols, last, open_places = symbols.take(kept), last.take(kept), open_places.take(kept)
         open_places &= ~last
+        places = np.flatnonzero(open_places)
+    if len(places):
+        # One place more, which is before the first and after the last symbol of a document.
+        none = len(symbols)
+        after = np.append(np.where(last, none, np.arange(1, none + 1)), none)
+        before = np.append(np.arange(-1, none - 1), none)
+        before[np.concatenate(([0], np.flatnonzero(last[:-1]) + 1))] = none
+        ranks = np.zeros(none + 1, np.int32)
+        keep = np.ones(none, bool)
+        open_places = np.append(open_places, False)
+        while len(places):
+            follow = after[places]
+            hits, found, keys, rare = _frequent(
+                symbols[places], symbols[follow], places, follow,
+                (top - 1).bit_length(), none.bit_length(), min_pairs,
+            )
+            if not len(keys):
+                break
+            open_places[rare] = False
+            ranks[hits] = found
+            wins = (ranks[before[hits]] < found) & (ranks[after[hits]] <= found)
+            ranks[hits] = 0
+            at = hits[wins]
+            won, names = name(found[wins] - 1, keys)
+            at = at[won]
+            gone = after[at]
+            symbols[at] = names
+            last[at] = last[gone]
+            keep[gone] = False
+            after[at] = after[gone]
+            before[after[gone]] = at
+            before[none] = none
+            open_places[gone] = False
+            beside = np.concatenate((at, before[at]))
+            open_places[beside] = after[beside] != none
+            places = np.flatnonzero(open_places)
+        symbols, last = symbols[keep], last[keep]
     made_rules = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     ends = np.flatnonzero(last) + 1
     # Documents without ids end where the one before does.
@@ -293,10 +467,11 @@ class Shard:
     def __init__(self, row: dict):
         base, width = row["base"], row["width"]
         number = row["n_rules"] if width > 4 else len(row["rules"]) // (2 * width)
-        rules = _read_symbols(row["rules"], width, 2 * number).reshape(-1, 2).astype(np.int64)
+        kind = np.int32 if base + number < 1 << 31 else np.int64
+        rules = _read_symbols(row["rules"], width, 2 * number).reshape(-1, 2).astype(kind)
         self.stops = np.frombuffer(row["stops"], "<u4").astype(np.int64)
         self.symbols = _read_symbols(row["symbols"], width, int(self.stops[-1]))
-        self._base, self._rules = base, rules
+        self._base, self._left, self._right = base, *np.ascontiguousarray(rules.T)
         # A rule only uses symbols before it: all rules up to the first that uses one of
         # them get their lengths in one step.
         self.lengths = np.ones(base + len(rules), np.int64)
@@ -310,16 +485,19 @@ class Shard:
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         """Ids of a row of symbols: rules are opened level by level, each at its own place,
         so the work follows the ids asked for."""
-        symbols = symbols.astype(np.int64)
-        sizes = self.lengths[symbols]
-        places = np.cumsum(sizes) - sizes
-        ids = np.zeros(int(sizes.sum()), np.uint32)
+        sizes = self.lengths.take(symbols)
+        total = int(sizes.sum())
+        kind = np.int32 if total < 1 << 31 else np.int64
+        symbols = symbols.astype(self._left.dtype)
+        places = (np.cumsum(sizes) - sizes).astype(kind)
+        ids = np.zeros(total, np.uint32)
         while len(symbols):
             plain = symbols < self._base
-            ids[places[plain]] = symbols[plain]
-            symbols, places = symbols[~plain], places[~plain]
-            left, right = self._rules[symbols - self._base].T
-            places = np.concatenate((places, places + self.lengths[left]))
+            here, deeper = np.flatnonzero(plain), np.flatnonzero(~plain)
+            ids[places.take(here)] = symbols.take(here)
+            rule, places = symbols.take(deeper) - self._base, places.take(deeper)
+            left, right = self._left.take(rule), self._right.take(rule)
+            places = np.concatenate((places, places + self.lengths.take(left).astype(kind)))
             symbols = np.concatenate((left, right))
         return ids
 

@@ -1,0 +1,110 @@
+"""What makes encoding quick: pieces of text are remembered as numbers, in far greater number."""
+
+import numpy as np
+import pyarrow as pa
+
+from ledgerlake.llm.token_files import PieceEncoder, WordIds, default_tokenizer, re_pair
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _library(encoder, text):
+    return encoder._library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_many_words_are_merged_once():
+    encoder = PieceEncoder(default_tokenizer())
+    merged, merge = [], encoder._merge
+    encoder._merge = lambda word: merged.append(None) or merge(word)
+    letters = [a + b for a in LETTERS for b in LETTERS]
+    texts = [" ".join(first + second for second in letters) for first in letters]
+    texts += [" ".join(first + second + "x" for second in letters) for first in letters[:350]]
+    first = [encoder.encode_all(texts[at:at + 100]) for at in range(0, len(texts), 100)]
+    assert len(merged) > 650_000
+    merged.clear()
+    again = [encoder.encode_all(texts[at:at + 100]) for at in range(0, len(texts), 100)]
+    assert not merged
+    assert all(np.array_equal(a, b) for one, two in zip(first, again) for a, b in zip(one, two))
+    assert again[3][7].tolist() == _library(encoder, texts[307])
+
+
+def test_pieces_are_cut_as_the_library_cuts_them():
+    encoder = PieceEncoder(default_tokenizer())
+    parts = [
+        "Haus", "don't", "'s", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\xa0", "a_", "12", "1a", "größe", "É", "–",
+        "„x“", "!?", "(q)", "abcdefghijklmnopqrstuvw", "éééééééééé", "<|endoftext|>", "<|endof", "text|>", "日本", " ",
+    ]
+    draw = np.random.default_rng(3)
+    texts = ["".join(parts[at] for at in draw.integers(0, len(parts), size)) for size in draw.integers(0, 9, 4000)]
+    texts[5], texts[6] = None, ""
+    for size, memory in ((1, 1 << 20), (7, 40), (900, 1 << 20)):
+        encoder._pieces = WordIds(encoder._encode_piece, memory)
+        for at in range(0, 2000 if size > 1 else 500, size):
+            some = texts[at:at + size]
+            assert [ids.tolist() for ids in encoder.encode_all(some)] == [_library(encoder, text) for text in some]
+    assert encoder.encode_all([]) == []
+
+
+def test_equal_hashes_are_told_apart_by_their_letters():
+    """A word of 16 bytes whose hash another has is never taken for it."""
+    words = WordIds(lambda word: word.encode() * 4, 100)
+    # hash = low ^ high * factor, mixed: another high half with the low half that gives the same.
+    factor, first = 0xC2B2AE3D27D4EB4F, b"abcdefghijklmnop"
+    low, high = (int.from_bytes(half, "little") for half in (first[:8], first[8:]))
+    twins = (
+        ((low ^ (high * factor ^ other * factor) % (1 << 64)) | other << 64).to_bytes(16, "little")
+        for other in (high ^ bits << 3 for bits in range(1, 1 << 16))
+    )
+    twin = next(word for word in twins if 0 < min(word) and max(word) < 128)
+    pieces = pa.array([first, twin], pa.large_binary())
+    for _ in range(3):
+        sizes, ids = words.find(pieces)
+        assert sizes.tolist() == [16, 16] and ids.astype("<u4").tobytes() == first * 4 + twin * 4
+    hashes = words._table[0].tolist()
+    assert len(hashes) > len(set(hashes)) and len(words) <= 4
+
+
+def _plain_re_pair(texts, base):
+    """The same rules, one list and one round at a time."""
+    texts, rules = [list(text) for text in texts], []
+    while True:
+        places = {}
+        for row, text in enumerate(texts):
+            run = 0
+            for at in range(len(text) - 1):
+                same = text[at] == text[at + 1]
+                run = run + 1 if same else 0
+                if not same or run % 2:
+                    places.setdefault((text[at], text[at + 1]), []).append((row, at))
+        often = {pair: found for pair, found in places.items() if len(found) > 1}
+        if not often:
+            return rules, texts
+        weight = {
+            pair: len(found) << 30 | ((pair[0] << 32 | pair[1]) * 0x9E3779B97F4A7C1 >> 20) & (1 << 30) - 1
+            for pair, found in often.items()
+        }
+        at_place = {place: pair for pair, found in often.items() for place in found}
+        won = {}
+        for (row, at), pair in at_place.items():
+            beside = [at_place.get((row, at - 1)), at_place.get((row, at + 1))]
+            if not (beside[0] and weight[beside[0]] >= weight[pair] or beside[1] and weight[beside[1]] > weight[pair]):
+                won.setdefault(pair, []).append((row, at))
+        made = sorted(pair for pair, found in won.items() if len(found) > 1)
+        names = {pair: base + len(rules) + number for number, pair in enumerate(made)}
+        rules += made
+        for pair in made:
+            for row, at in won[pair]:
+                texts[row][at], texts[row][at + 1] = names[pair], None
+        texts = [[symbol for symbol in text if symbol is not None] for text in texts]
+
+
+def test_rules_are_those_of_plain_rounds():
+    for seed in range(60):
+        draw = np.random.default_rng(seed)
+        texts = [draw.integers(0, 2 + seed, size).tolist() for size in draw.integers(0, 150, 5)]
+        texts += [texts[0] * 2, [1] * (seed % 7)]
+        ids = np.array(sum(texts, []), np.uint32)
+        rules, symbols, stops = re_pair(ids, np.cumsum([len(text) for text in texts]), 70)
+        want, left = _plain_re_pair(texts, 70)
+        assert list(map(tuple, rules.tolist())) == want
+        assert [part.tolist() for part in np.split(symbols, stops[:-1])] == left
