@@ -2,96 +2,88 @@
 
 Before suppression a bucket may hold a third of all notices, and its pairs are never
 listed. The load there is the comparison work, each other notice of each bucket a notice is
-in, counted from bucket sizes, and the number of distinct candidates, counted by content
-classes or, for the heaviest classes, from merged sketches. After suppression pairs are few
-enough to be listed and counted.
+in, counted from bucket sizes, and the exact number of distinct candidates, counted by
+content classes as bits of blocks. After suppression pairs are few enough to be listed and
+counted.
 """
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.operators.lsh import (
     BUCKET, BUCKET_CAP, hashed_classes, hashed_notices, pairs_within,
 )
 from ledgerlake.operators.percentiles import percentiles
+from ledgerlake.operators.ranking import dense_numbers
 from ledgerlake.operators.skew import HOT_ROWS, lookup_join, shared_rows, split_join
 from ledgerlake.session import materialize
 
 HOTTEST = 10
 STAGES = ("before", "after")
-# Classes of this comparison work or less count their candidates exactly.
-EXACT_WORK = 20_000
+# Classes are met in blocks of 2^12: a cell of two blocks is 2 MB of bits.
+BLOCK_BITS = 12
+# Cells of one bucket that a task makes: a cell holds up to 2^12 classes on either side.
+TASK_CELLS = 10_000
 # Sketches of 2^14 registers: a standard error of about 0.8 percent.
 SKETCH_BITS = 14
 
 
 def distinct_candidates(
-    signatures: DataFrame, rows: int, bands: int, exact_work: int = EXACT_WORK,
+    signatures: DataFrame, rows: int, bands: int, exact_work: int | None = None,
     sketch_bits: int = SKETCH_BITS, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Stored ``(notice_id, candidate_count, is_exact)`` with no bucket suppressed.
 
-    Notices of a class share all buckets, so classes are counted: a notice's candidates are
-    the other notices of its class and those of every class that shares a bucket. A class
-    whose buckets hold at most ``exact_work`` other classes, summed over its bands, meets
-    them in a join and counts exactly; that join makes at most ``exact_work`` rows a class,
-    and only buckets up to that size take part. For the others each bucket has one sketch,
-    merged from its classes' sketches of notice ids, and a class merges the sketches of its
-    buckets: work in proportion to the band rows, with the sketch's error.
+    Exact (:func:`distinct_of_hashed`), unless a caller asks for estimates: given an
+    ``exact_work``, classes whose buckets hold more other classes than that, summed over
+    bands, merge one sketch of notice ids per bucket. No query asks for them.
     """
-    return distinct_of_hashed(
-        hashed_notices(signatures, rows, bands), exact_work, sketch_bits, hot_rows
+    hashed = hashed_notices(signatures, rows, bands)
+    if exact_work is None:
+        return distinct_of_hashed(hashed, hot_rows)
+    classes, shared = _shared_classes(hashed, hot_rows)
+    work = materialize(
+        shared.groupBy("class_no").agg(F.sum(F.col("bucket_classes") - 1).alias("work")), "class-work"
     )
+    light = work.where(F.col("work") <= exact_work).select("class_no")
+    few = shared.where(F.col("bucket_classes") <= exact_work + 1)
+    counted = lookup_join(met_notices(few, classes, hot_rows=hot_rows), light, ["class_no"], "left_semi")
+    heavy = lookup_join(
+        shared, work.where(F.col("work") > exact_work).select("class_no"), ["class_no"], "left_semi"
+    ).select("class_no", *BUCKET)
+    sketched = _sketched(hashed, classes, shared, heavy, sketch_bits, hot_rows)
+    return _of_notices(hashed, classes, counted.withColumn("is_exact", F.lit(True)).unionByName(sketched))
 
 
-def distinct_of_hashed(
-    hashed: DataFrame, exact_work: int = EXACT_WORK, sketch_bits: int = SKETCH_BITS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """:func:`distinct_candidates` of :func:`hashed_notices`.
+def distinct_of_hashed(hashed: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Stored ``(notice_id, candidate_count, is_exact)`` of :func:`hashed_notices`, all exact.
 
-    Classes have numbers, which keep band rows narrow. Buckets of the same classes are met
-    once: near duplicates share dozens of such buckets.
+    Notices of a class share all buckets, so classes are counted: a notice's candidates are
+    the other notices of its class and those of every class that shares a bucket.
     """
+    classes, shared = _shared_classes(hashed, hot_rows)
+    counted = met_notices(shared, classes, hot_rows=hot_rows)
+    return _of_notices(hashed, classes, counted.withColumn("is_exact", F.lit(True)))
+
+
+def _shared_classes(hashed: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Stored classes with numbers, which keep band rows narrow, and their rows in buckets
+    of two classes or more."""
     classes = materialize(
         hashed_classes(hashed).withColumn("class_no", F.monotonically_increasing_id()), "classes"
     )
     keyed = classes.select("class_no", F.posexplode("hashes").alias("band_no", "band_hash"))
-    shared = materialize(shared_rows(keyed, BUCKET, "bucket_classes", hot_rows), "shared-bands")
-    work = materialize(
-        shared.groupBy("class_no").agg(F.sum(F.col("bucket_classes") - 1).alias("work")), "class-work"
-    )
-    # At most exact_work + 1 numbers a list.
-    lists = materialize(
-        shared.where(F.col("bucket_classes") <= exact_work + 1).groupBy(*BUCKET)
-        .agg(F.sort_array(F.collect_list("class_no")).alias("members"))
-        .select("members").distinct().withColumn("list_no", F.monotonically_increasing_id()),
-        "bucket-lists",
-    )
-    others = lists.select("list_no", F.explode("members").alias("other_no"))
-    light = lookup_join(
-        lists.select("list_no", F.explode("members").alias("class_no")),
-        work.where(F.col("work") <= exact_work).select("class_no"), ["class_no"], "left_semi",
-    )
-    met = split_join(light, others, ["list_no"], F.col("class_no") != F.col("other_no")).select(
-        "class_no", "other_no"
-    ).distinct()
-    weights = classes.select(F.col("class_no").alias("other_no"), "notices")
-    counted = (
-        lookup_join(met, weights, ["other_no"], "inner")
-        .groupBy("class_no").agg(F.sum("notices").alias("others"))
-        .withColumn("is_exact", F.lit(True))
-    )
-    heavy = lookup_join(
-        shared, work.where(F.col("work") > exact_work).select("class_no"), ["class_no"], "left_semi"
-    ).select("class_no", *BUCKET)
-    if not heavy.isEmpty():
-        counted = counted.unionByName(_sketched(hashed, classes, shared, heavy, sketch_bits, hot_rows))
-    own = F.col("notices") - 1
+    return classes, materialize(shared_rows(keyed, BUCKET, "bucket_classes", hot_rows), "shared-bands")
+
+
+def _of_notices(hashed: DataFrame, classes: DataFrame, counted: DataFrame) -> DataFrame:
+    """The counts of each notice; ``counted(class_no, met, is_exact)`` has its class itself too."""
     per_class = classes.select("class_id", "class_no", "notices").join(counted, "class_no", "left").select(
         "class_id",
-        # A sketch counts the class itself as well.
-        F.when(F.col("is_exact"), F.col("others") + own).otherwise(F.coalesce(F.col("others") - 1, own))
-        .cast("bigint").alias("candidate_count"),
+        (F.coalesce("met", "notices") - 1).cast("bigint").alias("candidate_count"),
         F.coalesce("is_exact", F.lit(True)).alias("is_exact"),
     )
     members = hashed.where(F.col("class_id").isNotNull()).select("notice_id", "class_id")
@@ -100,11 +92,118 @@ def distinct_of_hashed(
     )
 
 
+def met_notices(
+    shared: DataFrame, classes: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: int = HOT_ROWS,
+    task_cells: int = TASK_CELLS,
+) -> DataFrame:
+    """``(class_no, met)``: the notices of all classes that share a bucket with each class of
+    ``shared``, its own among them, each counted once.
+
+    No pair is a row. Classes are numbered along their largest buckets, so that near
+    duplicates are neighbours, and numbers are cut into blocks. A bucket is one part per
+    block, a list of places; buckets of the same classes, dozens per group of near
+    duplicates, are one. Two blocks are a cell: a task reads the parts that meet there one
+    after the other, sets their bits and adds up the notices of the bits of each row. A
+    bucket of n classes makes (n / 2^block_bits)^2 rows at best, and a task holds one cell.
+    """
+    largest = shared.groupBy("class_no").agg(
+        F.max(F.struct("bucket_classes", *BUCKET)).alias("largest")
+    )
+    numbered = materialize(
+        dense_numbers(largest, [F.desc("largest"), F.asc("class_no")], "place").select("class_no", "place"),
+        "class-places",
+    )
+    weighted = numbered.join(classes.select("class_no", "notices"), "class_no")
+    # Parts have few places, so numbers of 32 bits or less.
+    at = F.col("place") - 1
+    placed = materialize(
+        lookup_join(
+            shared.select("class_no", *BUCKET),
+            weighted.select(
+                "class_no", "notices", "place", F.shiftright(at, block_bits).alias("block"),
+                at.bitwiseAND(F.lit((1 << block_bits) - 1)).cast("short").alias("at"),
+            ),
+            ["class_no"], "inner", hot_rows=hot_rows,
+        ).drop("class_no"), "placed-bands",
+    )
+    members = [F.bit_xor(F.xxhash64("place", F.lit(salt))).alias(f"members_{salt}") for salt in (0, 1)]
+    same = placed.groupBy(*BUCKET).agg(F.count("*").alias("n"), *members)
+    # Buckets of equal members, told by 128 bits: the first stands for all.
+    lists = materialize(
+        same.groupBy("n", "members_0", "members_1").agg(F.min(F.struct(*BUCKET)).alias("first"))
+        .select("first.*").withColumn("list_no", F.monotonically_increasing_id()), "bucket-lists",
+    )
+    parts = materialize(
+        lookup_join(placed, lists, BUCKET, "inner", hot_rows=hot_rows)
+        .groupBy("list_no", "block").agg(F.collect_list(F.struct("at", "notices")).alias("part"))
+        .select("list_no", "block", "part.at", "part.notices"), "bucket-parts",
+    )
+    others = parts.select(
+        "list_no", F.col("block").alias("other_block"), F.col("at").alias("other_at"), "notices"
+    )
+    cells = split_join(
+        parts.select("list_no", "block", "at"), others, ["list_no"], max_broadcast_rows=1_000,
+        task_pairs=task_cells, left_by=["block"], right_by=["other_block"],
+    )
+    met = cells.drop("list_no").repartition("block", "other_block").sortWithinPartitions(
+        "block", "other_block"
+    ).mapInArrow(_cell_counter(block_bits), "place long, met long")
+    return met.groupBy("place").agg(F.sum("met").alias("met")).join(numbered, "place").select("class_no", "met")
+
+
+def _cell_counter(block_bits: int) -> Callable:
+    """Notices met in each cell by the classes of its block; travels to workers by itself."""
+    size = 1 << block_bits
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros((size, -(-size // 64)), dtype=np.uint64)
+        rows, notices = np.zeros(size, dtype=bool), np.zeros(size, dtype=np.int64)
+        cell = None
+
+        def packed(mask: np.ndarray) -> np.ndarray:
+            whole = np.zeros(bits.shape[1] * 64, dtype=bool)
+            whole[:size] = mask
+            return np.packbits(whole).view(np.uint64)
+
+        def counted() -> pa.RecordBatch:
+            """One power of two of the numbers of notices at a time; the cell is empty then."""
+            touched = np.flatnonzero(rows)
+            found, total = bits[touched], np.zeros(len(touched), dtype=np.int64)
+            for power in range(int(notices.max()).bit_length()):
+                plane = packed((notices >> power) & 1 == 1)
+                total += np.bitwise_count(found & plane).sum(axis=1, dtype=np.int64) << power
+            bits[touched] = 0
+            rows[:], notices[:] = False, 0
+            return pa.RecordBatch.from_arrays(
+                [pa.array((cell[0] << block_bits) + touched + 1, pa.int64()), pa.array(total, pa.int64())],
+                ["place", "met"],
+            )
+
+        for batch in batches:
+            blocks, others = (batch.column(name).to_numpy() for name in ("block", "other_block"))
+            lists = [batch.column(name) for name in ("at", "other_at", "notices")]
+            for row, own in enumerate(zip(blocks.tolist(), others.tolist())):
+                if own != cell:
+                    if cell is not None:
+                        yield counted()
+                    cell = own
+                at, other_at, weights = (one[row].values.to_numpy(zero_copy_only=False) for one in lists)
+                rows[at] = True
+                notices[other_at] = weights
+                mask = np.zeros(size, dtype=bool)
+                mask[other_at] = True
+                bits[at] |= packed(mask)
+        if cell is not None:
+            yield counted()
+
+    return work
+
+
 def _sketched(
     hashed: DataFrame, classes: DataFrame, shared: DataFrame, heavy: DataFrame,
     sketch_bits: int, hot_rows: int,
 ) -> DataFrame:
-    """``(class_no, others, is_exact)`` of heavy classes, themselves counted too."""
+    """``(class_no, met, is_exact)`` of heavy classes, themselves counted too."""
     of_class = materialize(
         hashed.where(F.col("class_id").isNotNull()).groupBy("class_id")
         .agg(F.hll_sketch_agg(F.col("notice_id").cast("string"), F.lit(sketch_bits)).alias("sketch"))
@@ -119,7 +218,7 @@ def _sketched(
     )
     merged = lookup_join(heavy, of_bucket, BUCKET, "inner", None, 1_000, hot_rows)
     return merged.groupBy("class_no").agg(
-        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("others")
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("met")
     ).withColumn("is_exact", F.lit(False))
 
 
