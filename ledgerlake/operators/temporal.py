@@ -41,7 +41,7 @@ def validity_join(
     if key_versions <= bin_versions:
         return lookup_join(
             rows, versions, [key], "left", inside, max_broadcast_rows, hot_rows, version_rows,
-            hot_from,
+            hot_from, merge=True,
         )
     first, last = rows.agg(F.min(_month(on)), F.max(_month(on))).first()
     months = F.sequence(
@@ -54,7 +54,7 @@ def validity_join(
     binned = versions.where(shared).withColumn(_BIN, F.explode(F.when(shared, months)))
     joined = lookup_join(
         rows.withColumn(_BIN, _month(on)), binned, [key, _BIN], "left", inside,
-        max_broadcast_rows, hot_rows,
+        max_broadcast_rows, hot_rows, merge=True,
     )
     return joined.drop(_BIN)
 
@@ -86,7 +86,8 @@ def newest_segments(
     ).distinct()
     following = Window.partitionBy(key).orderBy("segment_start")
     segments = bounds.withColumn("segment_stop", F.lead("segment_start").over(following))
-    covered = segments.join(versions, key).where(
+    # Segments already lie by key; without the hint the whole list may be broadcast.
+    covered = segments.join(versions.hint("merge"), key).where(
         F.col("segment_start").between(F.col(start), F.col(end))
     )
     newest = Window.partitionBy(key, "segment_start").orderBy(F.col(start).desc_nulls_last(), *tie_break)
