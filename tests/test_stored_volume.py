@@ -44,3 +44,22 @@ def test_a_sweep_stores_shared_bands_only(spark, monkeypatch):
     want = lsh.bucket_work(materialize(lsh.bands_of_configurations(signed, settings), "test"))
     columns = ["band_rows", "bands", "bucket_pair_hits", "average_work", "max_work", "p95_work"]
     assert as_set(found, *columns) == as_set(want, *columns)
+
+
+def test_errors_store_three_shingles_and_short_lanes(spark, tmp_path, monkeypatch):
+    folder = _documents(spark, tmp_path)
+    stored = {}
+
+    def noted(df, name):
+        stored[name] = materialize(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(datasets, "materialize", noted)
+    found = workloads.pair_errors(spark, folder)
+    kinds = dict(stored["shingled-notices"].dtypes)
+    assert kinds["sets"] == "struct<w3:array<bigint>>" and kinds["signature"] == "array<int>"
+    want = workloads._scored(spark, folder).select("notice_id_a", "notice_id_b", F.round("jaccard_3", 6))
+    assert as_set(found, "notice_id_a", "notice_id_b", "exact_jaccard") == as_set(want)
+    estimates = workloads.minhash_estimate(spark, folder)
+    assert as_set(found, "notice_id_a", "notice_id_b", "minhash_estimate") == as_set(
+        estimates, "notice_id_a", "notice_id_b", "minhash_estimate")
